@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import lookalike, topn
+from weftlink.llm import lookalike, mixing, packing, topn
 from weftlink.session import table
 
 
@@ -20,4 +20,45 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.same_look_pairs(table(spark, sf_dir, "source1"), "entity_id", ["business_name", "business_address"])
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found}
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pack_specs"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir).filter("pack_name = 'large' AND n_pieces > 1").select("doc_id").distinct()
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir)
+
+
+def p7_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.usage(_packed(spark, sf_dir), table(spark, sf_dir, "pack_specs"))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[1].filter("NOT reachable").select("mix_id", "source")
+
+
+def p8_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[1]
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p7_found": p7_found,
+    "p7_containers": p7_containers,
+    "p7_usage": p7_usage,
+    "p8_found": p8_found,
+    "p8_copies": p8_copies,
+    "p8_shares": p8_shares,
+}
