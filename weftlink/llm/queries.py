@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import lookalike, mixing, packing, topn
+from weftlink.llm import langid, lookalike, mixing, packing, topn
 from weftlink.session import table
 
 
@@ -52,6 +52,23 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixed(spark, sf_dir)[1]
 
 
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.segments(docs, "doc_id", "text", "lang", langid.train(docs, "doc_id", "text", "lang"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.mislabelled(_segments(spark, sf_dir))
+
+
+def p9_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segments(spark, sf_dir)
+
+
+def p9_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.document_languages(_segments(spark, sf_dir))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
@@ -61,4 +78,7 @@ QUERIES = {
     "p8_found": p8_found,
     "p8_copies": p8_copies,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_segments": p9_segments,
+    "p9_documents": p9_documents,
 }
