@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import langid, lookalike, mixing, packing, topn
+from weftlink.llm import addresses, langid, lookalike, mixing, names, packing, topn
 from weftlink.session import table
 
 
@@ -20,6 +20,22 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.same_look_pairs(table(spark, sf_dir, "source1"), "entity_id", ["business_name", "business_address"])
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.same_building(table(spark, sf_dir, "source1"), "entity_id", "business_address", "country")
+
+
+def p4_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.buildings(table(spark, sf_dir, "source1"), "entity_id", "business_address", "country")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.same_organisation(table(spark, sf_dir, "source1"), "entity_id", "business_name")
+
+
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.name_classes(table(spark, sf_dir, "source1"), "business_name").select("name", "class_id")
+
+
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pack_specs"))
 
@@ -72,6 +88,10 @@ def p9_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_buildings": p4_buildings,
+    "p5_found": p5_found,
+    "p5_classes": p5_classes,
     "p7_found": p7_found,
     "p7_containers": p7_containers,
     "p7_usage": p7_usage,
