@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import addresses, langid, lookalike, mixing, names, packing, topn
+from weftlink.llm import addresses, langid, lookalike, matching, mixing, names, packing, topn
 from weftlink.session import table
 
 
@@ -36,6 +36,21 @@ def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.name_classes(table(spark, sf_dir, "source1"), "business_name").select("name", "class_id")
 
 
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def records(name: str) -> DataFrame:
+        t = table(spark, sf_dir, name)
+        return t.select(F.col("entity_id").alias("id"), F.col("business_name").alias("name"), F.col("business_address").alias("address"), "country")
+
+    labels = matching.latest_labels(table(spark, sf_dir, "match_labels"), "source1_entity_id", "matched_entity_ids", "labelled_at")
+    return matching.cascade(records("source1"), records("source2").unionByName(records("source3")), labels)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_matches(spark, sf_dir).select(
+        F.col("reference_id").alias("source1_entity_id"), F.col("target_id").alias("matched_entity_id")
+    )
+
+
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pack_specs"))
 
@@ -92,6 +107,8 @@ QUERIES = {
     "p4_buildings": p4_buildings,
     "p5_found": p5_found,
     "p5_classes": p5_classes,
+    "p6_found": p6_found,
+    "p6_matches": p6_matches,
     "p7_found": p7_found,
     "p7_containers": p7_containers,
     "p7_usage": p7_usage,
