@@ -154,6 +154,6 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
 
 def latest_labels(labels: DataFrame, id_col: str, ids_col: str, at_col: str) -> DataFrame:
     """(id, ids): the list of each id's latest row; NULL or empty lists become empty arrays."""
-    ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce(F.col(ids_col), F.lit("")), ","), F.trim), lambda x: x != ""))
+    ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce(F.col(ids_col), F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != ""))
     rows = labels.select(F.col(id_col).alias("id"), F.coalesce(F.col(at_col).cast("timestamp"), F.lit("1900-01-01").cast("timestamp")).alias("at"), F.array_sort(ids).alias("ids"))
     return rows.filter("id IS NOT NULL").groupBy("id").agg(F.max(F.struct("at", "ids")).ids.alias("ids"))
