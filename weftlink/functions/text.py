@@ -108,7 +108,7 @@ def acronym(core: Column) -> Column:
 
 def id_list(col: Column) -> Column:
     """A comma-joined cell as an array: trimmed, without empty positions and repeats, in order."""
-    parts = F.transform(F.split(F.coalesce(col, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(col, F.lit("")), ","), lambda x: F.trim(x))
     return F.array_distinct(F.filter(parts, lambda x: x != ""))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftlink.functions import text as X
@@ -35,10 +35,11 @@ def exact_keys(raw: DataFrame, normal: DataFrame) -> DataFrame:
     joined = normal.join(raw.select("entity_id", blob.alias("blob")), "entity_id").select("*", *[v.alias(k) for k, v in X.contact_keys(F.col("blob")).items()])
     both = F.when((F.col("core_name") != "") & (F.col("postal") != ""), F.concat_ws("|", "core_name", "postal")).otherwise("")
     single = {"exact_name": F.col("core_name"), "squished_name": F.col("name_squish"), "exact_address": F.col("norm_addr"), "postal": F.col("postal"), "name_postal": both}
-    keys = F.concat(
-        *[F.transform(F.array(v), lambda x, k=k: F.struct(F.lit(k).alias("key_name"), x.alias("value"))) for k, v in single.items()],
-        *[F.transform(F.col(k), lambda x, k=k: F.struct(F.lit(k).alias("key_name"), x.alias("value"))) for k in sets],
-    )
+
+    def named(key: str, values: Column) -> Column:
+        return F.transform(values, lambda x: F.struct(F.lit(key).alias("key_name"), x.alias("value")))
+
+    keys = F.concat(*[named(k, F.array(v)) for k, v in single.items()], *[named(k, F.col(k)) for k in sets])
     return joined.select("entity_id", "source", F.explode(keys).alias("k")).select("entity_id", "source", "k.*").filter("value <> ''")
 
 

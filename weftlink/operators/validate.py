@@ -31,7 +31,7 @@ def validate_lines(lines: DataFrame, file: str, list_col: str, s1_ids: DataFrame
     parts = body.select("line_no", F.trim(cells[0]).alias("id"), F.size(cells).alias("columns"), F.coalesce(F.try_element_at(cells, F.lit(2)), F.lit("")).alias("list"))
     bad_columns = parts.filter((F.col("columns") > 2) | ((F.col("columns") < 2) & F.lit(mode == "official")))
     good = parts.join(bad_columns.select("line_no"), "line_no", "left_anti")
-    listed = F.filter(F.transform(F.split("list", ","), F.trim), lambda x: x != "")
+    listed = F.filter(F.transform(F.split("list", ","), lambda x: F.trim(x)), lambda x: x != "")
     rows = good.select("id", listed.alias("ids"))
     expected = s1_ids.select(F.col(s1_ids.columns[0]).alias("id")).distinct()
     each = rows.select("id", F.explode("ids").alias("t"))
