@@ -55,6 +55,45 @@ def _swap_forms(col: Column, u: Column) -> Column:
     return F.when(u < 0.6, F.array_join(F.transform(each, lambda t: F.coalesce(short[t], t)), " ")).when(u < 0.9, F.array_join(F.transform(each, lambda t: F.coalesce(long[t], t)), " ")).otherwise(col)
 
 
+def entities(spark: SparkSession, countries: dict[str, int], seed: int = 42) -> DataFrame:
+    """(e, country, name, address): canonical organisations, so many a country."""
+    sizes = list(countries.items())
+    rows, start = None, 0
+    for country, n in sizes:
+        part = spark.range(start, start + n).select(F.col("id").alias("e"), F.lit(country).alias("country"))
+        rows = part if rows is None else rows.unionByName(part)
+        start += n
+    second = F.when(_u(seed, F.col("e"), "two") < 0.5, F.concat(F.lit(" "), _word(seed, "b"))).otherwise("")
+    name = F.concat(_word(seed, "a"), second, F.lit(" "), _pick(SECTORS, _u(seed, F.col("e"), "sector")), F.lit(" "), _by_country(SUFFIXES, _u(seed, F.col("e"), "suffix")))
+    number = (F.floor(_u(seed, F.col("e"), "no") * 899) + 100).cast("int")
+    code = F.when(F.col("country") == "India", F.floor(_u(seed, F.col("e"), "zip") * 899_999) + 100_000).otherwise(F.floor(_u(seed, F.col("e"), "zip") * 89_999) + 10_000).cast("int")
+    street, city = _by_country(STREETS, _u(seed, F.col("e"), "street")), _by_country(CITIES, _u(seed, F.col("e"), "city"))
+    drawn = rows.select("e", "country", name.alias("name"), number.alias("no"), code.alias("code"), street.alias("street"), city.alias("city"))
+    address = (
+        F.when(F.col("country") == "US", F.format_string("%d %s Street, %s %d", "no", "street", "city", "code"))
+        .when(F.col("country") == "India", F.format_string("%d %s Road, %s - %d", "no", "street", "city", "code"))
+        .otherwise(F.format_string("%d Rue %s, %d %s", "no", "street", "code", "city"))
+    )
+    return drawn.select("e", "country", "name", address.alias("address"))
+
+
+def typo(col: Column, seed: int, *tag: object) -> Column:
+    """One letter swapped with the next, left out or doubled; texts under four letters stay."""
+    at = (F.floor(_u(seed, col, *tag, "at") * (F.length(col) - 2)) + 2).cast("int")
+    kind = F.floor(_u(seed, col, *tag, "kind") * 3)
+    head, one, two, rest = F.substr(col, F.lit(1), at - 1), F.substr(col, at, F.lit(1)), F.substr(col, at + 1, F.lit(1)), F.substr(col, at + 2)
+    changed = F.when(kind == 0, F.concat(head, two, one, rest)).when(kind == 1, F.concat(head, two, rest)).otherwise(F.concat(head, one, one, two, rest))
+    return F.when(F.length(col) >= 4, changed).otherwise(col)
+
+
+def _swap_forms(col: Column, u: Column) -> Column:
+    """Long forms abbreviated (0.6) or short ones spelled out (0.3), token by token."""
+    short = F.create_map(*[F.lit(x) for kv in SHORT.items() for x in kv])
+    long = F.create_map(*[F.lit(x) for k, v in SHORT.items() for x in (v, k)])
+    each = F.split(col, " ")
+    return F.when(u < 0.6, F.array_join(F.transform(each, lambda t: F.coalesce(short[t], t)), " ")).when(u < 0.9, F.array_join(F.transform(each, lambda t: F.coalesce(long[t], t)), " ")).otherwise(col)
+
+
 def entities(spark: SparkSession, countries: dict[str, int], seed: int = 42) -> DataFrame:
     """(e, country, name, address): canonical organisations, so many a country."""
     sizes = list(countries.items())
@@ -79,23 +118,34 @@ def entities(spark: SparkSession, countries: dict[str, int], seed: int = 42) ->
 def noisy(rows: DataFrame, seed: int) -> DataFrame:
     """Names and addresses of copies (e, copy, country, name, address) with spelling habits, errors and gaps."""
     u = lambda *t: _u(seed, F.col("e"), F.col("copy"), *t)
-    words = F.split("name", " ")
-    bare = F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), " ")
-    formed = _swap_forms(F.col("name"), u("forms"))
-    shortened = F.when(u("drop") < 0.15, bare).otherwise(formed)
-    swapped = F.when((u("swap") < 0.3) & (F.size(F.split(shortened, " ")) > 2), F.concat_ws(" ", F.element_at(F.split(shortened, " "), 2), F.element_at(F.split(shortened, " "), 1), F.array_join(F.slice(F.split(shortened, " "), 3, 20), " "))).otherwise(shortened)
-    plain = F.when(u("typo") < 0.4, typo(swapped, seed, "name")).otherwise(swapped)
-    squish = F.lower(F.replace(bare, F.lit(" "), F.lit("")))
-    rebrand = F.concat(_word(seed, "rebrand"), F.lit(" "), F.element_at(words, -1))
-    kind = u("kind")
-    name = F.when(kind < 0.15, F.concat(F.lit("www."), squish, F.lit(".com"))).when(kind < 0.22, F.concat(F.lit("@"), squish)).when(kind < 0.32, rebrand).otherwise(plain)
-    coded = F.when(u("code") < 0.35, F.regexp_replace("address", r"[ -]*[0-9]{5,6}", "")).otherwise(F.col("address"))
-    parts = F.split(coded, ", ")
-    cut = F.when((u("part") < 0.30) & (F.size(parts) > 1), F.element_at(parts, 1)).otherwise(coded)
-    marked = F.when(u("mark") < 0.25, F.concat(cut, F.lit(", Near City Mall"))).otherwise(cut)
-    turned = F.when(u("turn") < 0.20, F.array_join(F.reverse(F.split(marked, ", ")), ", ")).otherwise(marked)
-    address = _swap_forms(turned, u("addr"))
-    return rows.withColumns({"business_name": F.trim(name), "business_address": F.trim(address)})
+    w = F.split("n2", " ")
+    kind = F.col("kind")
+    # one column a step, so that no expression is written out twice in the plan
+    steps = {
+        "bare": F.array_join(F.slice(F.split("name", " "), 1, F.greatest(F.size(F.split("name", " ")) - 1, F.lit(1))), " "),
+        "n1": _swap_forms(F.col("name"), u("forms")),
+        "n2": F.when(u("drop") < 0.15, F.col("bare")).otherwise(F.col("n1")),
+        "n3": F.when((u("swap") < 0.3) & (F.size(w) > 2), F.concat_ws(" ", w[1], w[0], F.array_join(F.slice(w, 3, 20), " "))).otherwise(F.col("n2")),
+        "n4": F.when(u("typo") < 0.4, typo(F.col("n3"), seed, "name")).otherwise(F.col("n3")),
+        "squish": F.lower(F.replace("bare", F.lit(" "), F.lit(""))),
+        "kind": u("kind"),
+        "rebrand": F.concat(_word(seed, "rebrand"), F.lit(" "), F.element_at(F.split("name", " "), -1)),
+        "business_name": F.trim(
+            F.when(kind < 0.15, F.concat(F.lit("www."), F.col("squish"), F.lit(".com")))
+            .when(kind < 0.22, F.concat(F.lit("@"), F.col("squish")))
+            .when(kind < 0.32, F.col("rebrand"))
+            .otherwise(F.col("n4"))
+        ),
+        "a1": F.when(u("code") < 0.35, F.regexp_replace("address", r"[ -]*[0-9]{5,6}", "")).otherwise(F.col("address")),
+        "a2": F.when((u("part") < 0.30) & F.col("a1").contains(", "), F.split("a1", ", ")[0]).otherwise(F.col("a1")),
+        "a3": F.when(u("mark") < 0.25, F.concat("a2", F.lit(", Near City Mall"))).otherwise(F.col("a2")),
+        "a4": F.when(u("turn") < 0.20, F.array_join(F.reverse(F.split("a3", ", ")), ", ")).otherwise(F.col("a3")),
+        "business_address": F.trim(_swap_forms(F.col("a4"), u("addr"))),
+    }
+    out = rows
+    for name, column in steps.items():
+        out = out.withColumn(name, column)
+    return out.drop(*[n for n in steps if not n.startswith("business_")])
 
 
 def split(spark: SparkSession, countries: dict[str, int], seed: int = 42) -> dict[str, DataFrame]:
