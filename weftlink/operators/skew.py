@@ -127,16 +127,13 @@ def key_profile(df: DataFrame, key: str, value: str, max_dense_keys: int = 1 <<
         cells = cells.join(F.broadcast(names) if len(keys) <= block else names, "code").drop("code")
     else:
         part = values.groupBy("key", "len").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
-        cells = part.select(
-            "key",
-            F.explode(
-                F.array(
-                    F.struct(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("len"), F.col("n").alias("n")),
-                    F.struct(F.lit(1), F.lit(None).cast("long"), F.when(F.col("len") > 0, F.col("m")).otherwise(0)),
-                    F.struct(F.lit(2), F.col("len").cast("long"), F.when(F.col("len") > 0, F.col("n")).otherwise(0)),
-                )
-            ).alias("c"),
-        ).select("key", "c.*").filter("n > 0")
+        none = F.lit(None).cast("long")
+        named = part.filter("len > 0")
+        cells = (
+            part.select(F.lit(0).alias("kind"), "key", none.alias("len"), "n")
+            .unionByName(named.select(F.lit(1).alias("kind"), "key", none.alias("len"), F.col("m").alias("n")))
+            .unionByName(named.select(F.lit(2).alias("kind"), "key", F.col("len").cast("long").alias("len"), "n"))
+        )
     upto = Window.partitionBy("key").orderBy("len")
     whole = Window.partitionBy("key")
     mids = (
