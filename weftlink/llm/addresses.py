@@ -291,7 +291,7 @@ def buildings(df: DataFrame, id_col: str, address_col: str, country_col: str | N
     phrases = cut(rows.groupBy("street", "town", "post").agg(F.count(F.lit(1)).alias("n")))
     known = resolve(phrases, gazetteer(phrases))
     out = rows.join(known, ["street", "town", "post"])
-    whole = F.concat(F.lit("text|"), F.lower(F.regexp_replace("address", r"[\s,.]+", " ")))
+    whole = F.concat(F.lit("text|"), F.trim(F.lower(F.regexp_replace("address", r"[\s,.]+", " "))))
     usable = (F.col("number") != "") & (F.length("street") >= 3)
     return out.select(
         "id", F.when(usable, F.concat_ws("#", "street_id", "number")).otherwise(whole).alias("building"), "street_id", "number", "unit", "street", "town", "post"
