@@ -1,8 +1,8 @@
 """Matches records of one source to others that share no key, by a cascade of exact joins.
 
 Every record gets attributes: its building (gazetteer), the class of its name (segment join) and
-weaker forms of both.  Rules join on ever weaker combinations of them; targets that a rule
-resolves are taken out before the next.  Each join meets one row a key on the reference side,
+weaker forms of both.  Rules join on ever weaker combinations of them, a few of like strength a pass; targets that a
+pass resolves are taken out before the next.  Each join meets one row a key on the reference side,
 so no key can multiply rows.  A rule's confidence is its precision on the labelled records,
 smoothed; rules below the least confidence give no matches.
 """
@@ -71,8 +71,12 @@ def _each(array: Column, *cols: Column) -> Column:
     return F.transform(F.filter(array, lambda w: F.length(w) >= 4), lambda w: _both(w, *cols))
 
 
-def rules() -> list[tuple[str, Column, Column, Column, Column, bool]]:
-    """(name, reference keys, target keys, reference condition, target condition, only if one reference record has the key)."""
+Rule = tuple[str, Column, Column, Column, Column, bool]
+
+
+def passes() -> list[list[Rule]]:
+    """Rules by pass, each weaker than those before it: (name, reference keys, target keys,
+    reference condition, target condition, only if one reference record has the key)."""
     c = F.col
     always = F.lit(True)
     no_address = c("building").isNull()
@@ -89,7 +93,7 @@ def rules() -> list[tuple[str, Column, Column, Column, Column, bool]]:
     spelled = F.transform(gone, lambda w: _both(w, c("building")))
     start = F.transform(c("common"), lambda w: _both(w, F.when(F.length("core") >= 6, F.left(c("core"), F.lit(3))), c("building")))
     end = F.transform(c("common"), lambda w: _both(w, F.when(F.length("core") >= 6, F.right(c("core"), F.lit(3))), c("building")))
-    return [
+    every = [
         ("same name and address", one(_both(c("plain"), c("line"))), one(_both(c("plain"), c("line"))), always, always, False),
         ("same name, building", one(_both(c("plain"), c("building"))), one(_both(c("plain"), c("building"))), always, always, False),
         ("name class, same address", one(_both(c("class_id"), c("line"))), one(_both(c("class_id"), c("line"))), always, always, False),
@@ -111,6 +115,9 @@ def rules() -> list[tuple[str, Column, Column, Column, Column, bool]]:
         ("building, no name of the reference", one(_both(c("building"))), one(_both(c("building"))), no_name, always, True),
         ("trade, building", word, word, always, always, True),
     ]
+    sizes = [4, 4, 4, 3, 4, 1]
+    starts = [sum(sizes[:i]) for i in range(len(sizes))]
+    return [every[a : a + n] for a, n in zip(starts, sizes)]
 
 
 def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least: float = 0.5, prior: float = 0.5, weight: float = 4.0) -> DataFrame:
@@ -130,26 +137,55 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
     truth = cut(labels.select("id", F.explode_outer("ids").alias("right_id")))
     judged = truth.select("id").distinct()
     right = truth.filter("right_id IS NOT NULL").distinct()
-    done = None
-    for number, (name, left_keys, right_keys, left_if, right_if, single) in enumerate(rules(), 1):
-        one = ours.filter(left_if).select("id", F.explode(F.array_distinct(left_keys)).alias("k")).filter("k IS NOT NULL")
-        by_key = one.groupBy("k").agg(F.min("id").alias("reference_id"), F.count(F.lit(1)).alias("m"))
-        if single:
-            by_key = by_key.filter("m = 1")
+    done, names, first = None, {}, 1
+    for group in passes():
+        numbered = dict(enumerate(group, first))
+        first += len(group)
+        names |= {k: r[0] for k, r in numbered.items()}
+        single = [k for k, r in numbered.items() if r[5]]
+        one = _keyed(ours, {k: (r[3], r[1]) for k, r in numbered.items()})
+        by_key = one.groupBy("rule_no", "k").agg(F.min("id").alias("reference_id"), F.count(F.lit(1)).alias("m"))
+        by_key = by_key.filter((F.col("m") == 1) | ~F.col("rule_no").isin(single))
         left_over = theirs if done is None else theirs.join(done.select(F.col("target_id").alias("id")), "id", "left_anti")
-        asked = left_over.filter(right_if).select(F.col("id").alias("target_id"), F.explode(F.array_distinct(right_keys)).alias("k")).filter("k IS NOT NULL")
-        hits = asked.join(by_key, "k").groupBy("target_id", "reference_id").agg(F.count(F.lit(1)).alias("shared"))
-        best = hits.groupBy("target_id").agg(F.min(F.struct(-F.col("shared"), "reference_id")).reference_id.alias("reference_id"))
-        found = cut(best.select("reference_id", "target_id", F.lit(number).alias("rule_no"), F.lit(name).alias("rule")))
-        known = found.join(judged.withColumnRenamed("id", "reference_id"), "reference_id")
-        ok = known.join(right, (F.col("reference_id") == right["id"]) & (F.col("target_id") == right["right_id"]), "left_semi")
-        n, tp = known.count(), ok.count()
-        confidence = (tp + prior * weight) / (n + weight)
-        if confidence < least:
-            continue
-        found = found.withColumn("confidence", F.lit(confidence))
-        done = found if done is None else done.unionByName(found)
-    return done if done is not None else found.withColumn("confidence", F.lit(0.0)).limit(0)
+        asked = _keyed(left_over, {k: (r[4], r[2]) for k, r in numbered.items()}).withColumnRenamed("id", "target_id")
+        hits = asked.join(by_key, ["rule_no", "k"]).groupBy("target_id", "rule_no", "reference_id").agg(F.count(F.lit(1)).alias("shared"))
+        best = hits.groupBy("target_id", "rule_no").agg(F.min(F.struct(-F.col("shared"), "reference_id")).reference_id.alias("reference_id"))
+        found = cut(best)
+        trusted = set(numbered)
+        while True:
+            chosen = found.filter(F.col("rule_no").isin(sorted(trusted))).groupBy("target_id").agg(F.min(F.struct("rule_no", "reference_id")).alias("x")).select("target_id", "x.*")
+            poor = {k for k, c in _precision(chosen, judged, right, prior, weight).items() if c < least}
+            if not poor:
+                break
+            trusted -= poor
+        # all that is resolved is written again with each pass: it is small, and so are the plans that read it
+        done = cut(chosen if done is None else done.unionByName(chosen))
+    confidence = _precision(done, judged, right, prior, weight)
+    of = lambda values: F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("rule_no")]
+    sure = {k: confidence.get(k, prior) for k in names}
+    return done.select("reference_id", "target_id", "rule_no", of(names).alias("rule"), of(sure).alias("confidence"))
+
+
+def _keyed(records: DataFrame, keys: dict[int, tuple[Column, Column]]) -> DataFrame:
+    """(id, rule_no, k): the keys of every rule whose condition holds."""
+    each = [
+        F.when(condition, F.transform(F.array_distinct(array), lambda x: F.struct(F.lit(k).alias("rule_no"), x.alias("k")))) for k, (condition, array) in keys.items()
+    ]
+    none = F.array().cast("array<struct<rule_no:int,k:string>>")
+    every = F.flatten(F.array(*[F.coalesce(e, none) for e in each]))
+    return records.select("id", F.explode(every).alias("r")).select("id", "r.rule_no", "r.k").filter("k IS NOT NULL")
+
+
+def _precision(found: DataFrame, judged: DataFrame, right: DataFrame, prior: float, weight: float) -> dict[int, float]:
+    """Smoothed share of right pairs by rule, over pairs with a labelled reference record."""
+    rows = (
+        found.join(judged, F.col("reference_id") == judged["id"], "left_semi")
+        .join(right, (F.col("reference_id") == right["id"]) & (F.col("target_id") == right["right_id"]), "left")
+        .groupBy("rule_no")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("right_id").alias("tp"))
+        .collect()
+    )
+    return {r["rule_no"]: (r["tp"] + prior * weight) / (r["n"] + weight) for r in rows}
 
 
 def latest_labels(labels: DataFrame, id_col: str, ids_col: str, at_col: str) -> DataFrame:
