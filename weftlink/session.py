@@ -27,6 +27,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes ``df`` once to the shared checkpoint folder and reads it from there on."""
+    """Writes ``df`` once to the shared checkpoint folder and reads it from there on.
+
+    The driver is then asked to collect garbage: only then are the shuffle files and
+    checkpoints removed that nothing refers to any more.
+    """
     _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
