@@ -42,8 +42,11 @@ def _letters(names: DataFrame) -> DataFrame:
 
 
 def described(sources: DataFrame) -> DataFrame:
-    """``sources(id, name, address, country)`` with all attributes that rules use, one row an id, checkpointed."""
-    once = sources.dropDuplicates(["id"])
+    """``sources(id, name, address, country, side)`` with all attributes that rules use, one row an id, checkpointed.
+
+    Of rows that repeat an id the least (by side, name, address, country) counts.
+    """
+    once = cut(sources.filter("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("side", "name", "address", "country")).alias("r")).select("id", "r.*"))
     at = buildings(once, "id", "address", "country").select("id", "building", "number", "street", "town", "post")
     named = name_classes(once, "name").select("name", "class_id", "core", "parts", "common")
     letters = _letters(once.select("name").filter("trim(name) <> ''").distinct())
@@ -52,7 +55,7 @@ def described(sources: DataFrame) -> DataFrame:
         .join(named, "name", "left")
         .join(letters, "name", "left")
         .select(
-            "id", "name", "class_id", "core", "parts", "common", "plain", "letters", "head", F.coalesce("acronym", F.lit(False)).alias("acronym"),
+            "id", "side", "class_id", "core", "parts", "common", "plain", "letters", "head", F.coalesce("acronym", F.lit(False)).alias("acronym"),
             "building", "number", "street", "town", "post", F.lower(F.regexp_replace("address", r"[\s,.]+", " ")).alias("line"),
         )
     )
@@ -131,9 +134,8 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
     target ids count once.  Confidence is (right + prior * weight) / (judged + weight) over a
     rule's pairs with a labelled reference record.
     """
-    records = described(reference.withColumn("side", F.lit(0)).unionByName(targets.withColumn("side", F.lit(1))).select("id", "name", "address", "country"))
-    ours = records.join(reference.select("id").distinct(), "id", "left_semi")
-    theirs = records.join(targets.select("id").distinct(), "id", "left_semi")
+    records = described(reference.withColumn("side", F.lit(0)).unionByName(targets.withColumn("side", F.lit(1))).select("id", "name", "address", "country", "side"))
+    ours, theirs = records.filter("side = 0"), records.filter("side = 1")
     truth = cut(labels.select("id", F.explode_outer("ids").alias("right_id")))
     judged = truth.select("id").distinct()
     right = truth.filter("right_id IS NOT NULL").distinct()
