@@ -106,6 +106,21 @@ def test_same_organisation(spark):
     assert names.same_organisation(df.limit(0), "id", "name").count() == 0
 
 
+def test_no_near_core_is_dropped(spark):
+    """Five equally rare spellings near each other are one class; a spelling between two classes pairs with both."""
+    five = [f"Brontavilka{x} Carpets" for x in ("", "r", "s", "t", "v")]
+    # the one between is drawn to the first of two equally frequent cores that are not near each other
+    between = ["Gomsteradinu Carpets", "Gomsteradinu Carpets Ltd", "Gomsteradivx Carpets", "Gomsterakqvx Carpets", "Gomsterakqvx Carpets Ltd"]
+    df = spark.createDataFrame([(f"a{i}", n) for i, n in enumerate(five)] + [(f"b{i}", n) for i, n in enumerate(between)], "id string, name string")
+    classes = {r["name"]: r["class_id"] for r in names.name_classes(df, "name").collect()}
+    assert len({classes[n] for n in five}) == 1
+    assert classes[between[0]] == classes[between[2]] != classes[between[3]]
+    got = {(r["id_a"], r["id_b"]) for r in names.same_organisation(df, "id", "name").collect()}
+    assert {*itertools.combinations([f"a{i}" for i in range(5)], 2)} <= got
+    near = {("b0", "b1"), ("b0", "b2"), ("b1", "b2"), ("b2", "b3"), ("b2", "b4"), ("b3", "b4")}
+    assert {p for p in got if p[0][0] == "b"} == near
+
+
 def test_words():
     assert names.words_of("M/s. James Talwero & Rigaro Tyres (P) Ltd.") == ["james", "talwero", "rigaro", "tires"]
     assert names.words_of("Jim Talwero L.L.C.") == ["james", "talwero"]

@@ -308,10 +308,15 @@ def near_cores(units: DataFrame) -> DataFrame:
 def name_classes(df: DataFrame, name_col: str) -> DataFrame:
     """(name, class_id, core, parts, common, initials) of every different name: names of one organisation share ``class_id``.
 
-    A core is drawn to the most frequent core near it whose common words agree, and twice on
-    from there.  Names without a core of their own (only common words) are a class by their
-    words.  NULL and blank names have no class.
+    A core is drawn to the most frequent core near it whose common words agree (of equally frequent
+    ones to the first in the alphabet), and on from there to the end.  Names without a core of
+    their own (only common words) are a class by their words.  NULL and blank names have no class.
     """
+    return _classed(df, name_col)[0]
+
+
+def _classed(df: DataFrame, name_col: str) -> tuple[DataFrame, DataFrame]:
+    """``name_classes``, and (a, class_a, b, class_b): near cores with agreeing common words that were drawn to different classes."""
     every = analysed(df, name_col)
     # the unit of a class: a core with the common words that mark its trade
     units = every.groupBy("core").agg(
@@ -325,19 +330,25 @@ def name_classes(df: DataFrame, name_col: str) -> DataFrame:
     def agree(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([alike(list(s), list(t)) for s, t in zip(x, y)])
 
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     left = known.select(F.col("core").alias("a"), F.col("n").alias("na"), F.col("commons").alias("ca"))
     right = known.select(F.col("core").alias("b"), F.col("n").alias("nb"), F.col("commons").alias("cb"))
-    stronger = both.join(left, "a").join(right, "b").filter("nb > na OR (nb = na AND b < a)").filter(agree("ca", "cb"))
-    to = stronger.groupBy("a").agg(F.max(F.struct("nb", "b")).b.alias("to"))
-    one = cut(units.join(to, units["core"] == to["a"], "left").select("core", F.coalesce("to", "core").alias("to")))
-    hop = one.select(F.col("core").alias("to"), F.col("to").alias("to2"))
-    two = one.join(hop, "to").select("core", F.col("to2").alias("to"))
-    three = two.join(hop, "to").select("core", F.col("to2").alias("class_core"))
-    out = every.join(three, "core", "left")
+    links = cut(edges.join(left, "a").join(right, "b").filter(agree("ca", "cb")).select("a", "na", "b", "nb"))
+    up = F.expr("nb > na OR (nb = na AND b < a)")
+    drawn = links.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(up, F.struct("nb", "b")).otherwise(F.struct(F.col("na").alias("nb"), F.col("a").alias("b"))).alias("x"))
+    to = drawn.groupBy("a").agg(F.min(F.struct(-F.col("x.nb"), F.col("x.b").alias("b"))).b.alias("to"))
+    ends = cut(units.join(to, units["core"] == to["a"], "left").select("core", F.coalesce("to", "core").alias("to"), F.col("to").isNotNull().alias("moved")))
+    # every round doubles the steps; no step leads back, as each goes to a more frequent core or an earlier one of the same count
+    while ends.filter("moved").limit(1).count():
+        hop = ends.select(F.col("core").alias("to"), F.col("to").alias("to2"))
+        ends = cut(ends.join(hop, "to").select("core", F.col("to2").alias("to"), (F.col("to") != F.col("to2")).alias("moved")))
+    ends = ends.select("core", F.col("to").alias("class_core"))
+    out = every.join(ends, "core", "left")
     words = F.concat(F.lit("="), F.array_join("common", " "), F.lit("|"), F.array_join("initials", " "), F.lit("|"), "core")
     named = out.select("name", F.coalesce("class_core", words).alias("class_id"), "core", "parts", "common", "initials")
-    return _initialled(cut(named))
+    class_a = ends.select(F.col("core").alias("a"), F.col("class_core").alias("class_a"))
+    class_b = ends.select(F.col("core").alias("b"), F.col("class_core").alias("class_b"))
+    apart = links.select("a", "b").join(class_a, "a").join(class_b, "b").filter("class_a <> class_b")
+    return _initialled(cut(named)), apart
 
 
 def _initialled(named: DataFrame) -> DataFrame:
@@ -360,11 +371,13 @@ def _initialled(named: DataFrame) -> DataFrame:
 def same_organisation(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """(id_a, id_b): different records whose names denote one organisation, smaller id first.
 
+    These are the names of one class, and those of near cores that were drawn to different classes
+    (but for names with an initial that ``_initialled`` has given to another organisation).
     Identical names always pair.  Rows with a NULL id, or a NULL or blank name, give none.
     """
-    classes = name_classes(df, name_col)
+    classes, apart = _classed(df, name_col)
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(name_col).cast("string").alias("name")).filter("id IS NOT NULL AND trim(name) <> ''").distinct()
-    at = rows.join(classes, "name").select("id", "class_id", "common")
+    at = rows.join(classes, "name").select("id", "class_id", "core", "common")
     a = at.select(F.col("id").alias("id_a"), "class_id", F.col("common").alias("ca"))
     b = at.select(F.col("id").alias("id_b"), "class_id", F.col("common").alias("cb"))
 
@@ -372,4 +385,9 @@ def same_organisation(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
     def agree(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([alike(list(s), list(t)) for s, t in zip(x, y)])
 
-    return a.join(b, "class_id").filter("id_a < id_b").filter(agree("ca", "cb")).select("id_a", "id_b").distinct()
+    inside = a.join(b, "class_id").filter("id_a < id_b").select("id_a", "ca", "id_b", "cb")
+    near_a = at.select(F.col("id").alias("id_a"), F.col("core").alias("a"), F.col("class_id").alias("class_a"), F.col("common").alias("ca"))
+    near_b = at.select(F.col("id").alias("id_b"), F.col("core").alias("b"), F.col("class_id").alias("class_b"), F.col("common").alias("cb"))
+    across = apart.join(near_a, ["a", "class_a"]).join(near_b, ["b", "class_b"]).filter("id_a <> id_b").select("id_a", "ca", "id_b", "cb")
+    met = inside.unionByName(across).filter(agree("ca", "cb"))
+    return met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
