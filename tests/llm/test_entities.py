@@ -147,6 +147,19 @@ def test_cascade(spark):
     assert matching.cascade(ours.limit(0), theirs, labels.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_most_shared_keys_win(spark, monkeypatch, hot):
+    """Of records in one building that share words with a target, the one that shares most counts, not the smallest id."""
+    monkeypatch.setattr(matching, "_HOT", hot)
+    make = lambda rows: spark.createDataFrame(rows, "id string, name string, address string, country string")
+    at = "12 Robitaruk Marg, Kamita, BI 378797"
+    ours = make([("S1-1", "Alvorita Bruskanel", at, "India"), ("S1-2", "Bruskanel Charmodil", at, "India"), ("S1-3", "Charmodil Bruskanel", at, "India")])
+    theirs = make([("S2-1", "Charmodil Bruskanel Xemprovat", at, "India"), ("S2-2", "Bruskannel Charmodill Zugrewitol", at, "India")])
+    out = matching.cascade(ours, theirs, spark.createDataFrame([], "id string, ids array<string>"), least=0.3)
+    got = {r["target_id"]: (r["reference_id"], r["rule"]) for r in out.collect()}
+    assert got == {"S2-1": ("S1-2", "word of the name, building"), "S2-2": ("S1-2", "word within a letter, building")}
+
+
 def test_latest_labels(spark):
     rows = [("S1-1", "S2-1", "2025-01-01"), ("S1-1", " S2-2,,S2-2 ,S3-10", "2025-02-01"), ("S1-2", None, "2025-01-01"), ("S1-2", None, "2025-01-01"), (None, "S2-1", None)]
     df = spark.createDataFrame(rows, "a string, b string, c string")

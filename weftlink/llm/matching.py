@@ -2,8 +2,9 @@
 
 Every record gets attributes: its building (gazetteer), the class of its name (segment join) and
 weaker forms of both.  Rules join on ever weaker combinations of them, a few of like strength a pass; targets that a
-pass resolves are taken out before the next.  Each join meets one row a key on the reference side,
-so no key can multiply rows.  A rule's confidence is its precision on the labelled records,
+pass resolves are taken out before the next.  Where a record has one key, the join meets one row a key on the
+reference side; where pairs can share several, it meets one row for every different name in the building, and
+keys of very many such rows are salted.  A rule's confidence is its precision on the labelled records,
 smoothed; rules below the least confidence give no matches.
 """
 
@@ -123,6 +124,13 @@ def passes() -> list[list[Rule]]:
     return [every[a : a + n] for a, n in zip(starts, sizes)]
 
 
+#: Rules of which a pair can share several keys, all made of the parts of the name and the building: whom most keys
+#: name is only known once every record of a key is met.
+_SEVERAL = {"word of the name, building", "word within a letter, building"}
+#: Rows of one key that a task meets at once.
+_HOT = 1000
+
+
 def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least: float = 0.5, prior: float = 0.5, weight: float = 4.0) -> DataFrame:
     """(reference_id, target_id, rule_no, rule, confidence).
 
@@ -145,12 +153,18 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
         first += len(group)
         names |= {k: r[0] for k, r in numbered.items()}
         single = [k for k, r in numbered.items() if r[5]]
-        one = _keyed(ours, {k: (r[3], r[1]) for k, r in numbered.items()})
+        several = {k: (r[3], r[1]) for k, r in numbered.items() if r[0] in _SEVERAL}
+        one = _keyed(ours, {k: (r[3], r[1]) for k, r in numbered.items() if k not in several})
         by_key = one.groupBy("rule_no", "k").agg(F.min("id").alias("reference_id"), F.count(F.lit(1)).alias("m"))
-        by_key = by_key.filter((F.col("m") == 1) | ~F.col("rule_no").isin(single))
+        by_key = by_key.filter((F.col("m") == 1) | ~F.col("rule_no").isin(single)).drop("m")
         left_over = theirs if done is None else theirs.join(done.select(F.col("target_id").alias("id")), "id", "left_anti")
         asked = _keyed(left_over, {k: (r[4], r[2]) for k, r in numbered.items()}).withColumnRenamed("id", "target_id")
-        hits = asked.join(by_key, ["rule_no", "k"]).groupBy("target_id", "rule_no", "reference_id").agg(F.count(F.lit(1)).alias("shared"))
+        met = asked.join(by_key, ["rule_no", "k"])
+        if several:
+            # records of the same parts in one building share the same keys with any target: the smallest id stands for them
+            alike = ours.groupBy("building", "parts").agg(F.min("id").alias("id"))
+            met = met.unionByName(_met(asked.filter(F.col("rule_no").isin(list(several))), _keyed(alike, several)))
+        hits = met.groupBy("target_id", "rule_no", "reference_id").agg(F.count(F.lit(1)).alias("shared"))
         best = hits.groupBy("target_id", "rule_no").agg(F.min(F.struct(-F.col("shared"), "reference_id")).reference_id.alias("reference_id"))
         found = cut(best)
         trusted = set(numbered)
@@ -168,6 +182,18 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
     return done.select("reference_id", "target_id", "rule_no", of(names).alias("rule"), of(sure).alias("confidence"))
 
 
+def _met(asked: DataFrame, every: DataFrame) -> DataFrame:
+    """(target_id, rule_no, k, reference_id): every target with every reference record of its key, hot keys salted."""
+    # at most one key in a thousand rows is here
+    hot = F.broadcast(
+        every.groupBy("rule_no", "k").agg(F.ceil(F.count(F.lit(1)) / _HOT).cast("int").alias("salts")).filter("salts > 1")
+    )
+    ours = every.withColumnRenamed("id", "reference_id").join(hot, ["rule_no", "k"], "left")
+    ours = ours.withColumn("salt", F.pmod(F.xxhash64("reference_id"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    theirs = asked.join(hot, ["rule_no", "k"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return theirs.join(ours, ["rule_no", "k", "salt"]).drop("salt")
+
+
 def _keyed(records: DataFrame, keys: dict[int, tuple[Column, Column]]) -> DataFrame:
     """(id, rule_no, k): the keys of every rule whose condition holds."""
     each = [
