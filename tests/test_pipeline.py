@@ -1,3 +1,6 @@
+import pytest
+
+from weftlink.operators import blocking as B
 from weftlink.operators import synth
 from weftlink.plans import pipeline
 from weftlink.sources import records as S
@@ -24,3 +27,19 @@ def test_train_and_predict(spark, tmp_path):
     assert owned and len(owned) == len(set(owned))
     again = pipeline.Trained.load(spark, cfg.model_dir)
     assert (again.threshold, again.seen) == (trained.threshold, trained.seen)
+
+
+def test_embeddings_reach_candidates_and_features(spark):
+    """A pair of which only the embedding blocker knows is a candidate, with its cosine as a feature."""
+    rows = [("S1-1", "Lisrober Vonakmo", "", "India"), ("S2-1", "Lisrober Vonakmi", "", "India"), ("S2-2", "Dufenmi Halbital", "", "India")]
+    records = spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string")
+    only = dict(knn_name=1, min_name_cosine=2.0, use_addr_blocker=False, use_squish_blocker=False, use_postal_blocker=False)
+    assert pipeline._prepared(records, pipeline.configured(**only))[1].count() == 0
+    normal, found, weights = pipeline._prepared(records, pipeline.configured(use_embeddings=True, **only))
+    assert [(r["s1_id"], r["cand_id"]) for r in found.collect()] == [("S1-1", "S2-1")]
+    assert 0.55 <= pipeline._features(found, normal, weights).first()["embed_cos"] < 1
+    cfg = pipeline.configured(use_embeddings=True, embed_backend="sentence-transformers", **only)
+    with pytest.raises(ValueError):
+        pipeline._prepared(records, cfg)
+    with pytest.raises(ValueError):
+        B.candidates(normal, cfg)

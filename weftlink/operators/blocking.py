@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftlink.config import Config
-from weftlink.functions.vectors import cosine
+from weftlink.functions.vectors import cosine, hashing_embedding
 from weftlink.operators.tfidf import paired_cosine, text_weights, top_k
 from weftlink.sources.records import source_number
 
@@ -52,6 +52,22 @@ def squish_weights(records: DataFrame, cfg: Config) -> DataFrame:
     return text_weights(records, "name_squish", *cfg.squish_grams, within_words=False, min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
 
 
+def embedding_weights(records: DataFrame, cfg: Config) -> DataFrame:
+    """(entity_id, gram, w): the hashing vector of every record, a dimension as a gram, as ``paired_cosine`` takes it."""
+    if cfg.embed_backend != "hashing":
+        raise ValueError(f"no embedding backend {cfg.embed_backend!r}: only 'hashing' can be had offline")
+    vectors = hashing_embedding(records, "entity_id", "core_name", cfg.embed_dim, cfg.embed_grams)
+    return vectors.select(F.col("id").alias("entity_id"), F.col("dim_no").alias("gram"), F.col("value").alias("w"))
+
+
+def embedding_vectors(records: DataFrame, weights: DataFrame, cfg: Config) -> DataFrame:
+    """(id, source, country_key, v): the same vectors as arrays, as ``vector_top_k`` takes them."""
+    entries = weights.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("m"))
+    v = F.transform(F.sequence(F.lit(0), F.lit(cfg.embed_dim - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
+    country = F.col("country_key") if cfg.block_within_country else F.lit("")
+    return records.join(entries, "entity_id").select(F.col("entity_id").alias("id"), "source", country.alias("country_key"), v.alias("v"))
+
+
 def union_pairs(*blocks: DataFrame) -> DataFrame:
     """Distinct pairs of all blockers."""
     out = blocks[0].select(*PAIR)
@@ -69,7 +85,9 @@ def candidates(records: DataFrame, cfg: Config, vectors: DataFrame | None = None
         blocks.append(top_k(address_weights(records, cfg), cfg.knn_addr, cfg.min_addr_cosine, within))
     if cfg.use_squish_blocker:
         blocks.append(top_k(squish_weights(records, cfg), cfg.knn_squish, cfg.min_squish_cosine, within))
-    if cfg.use_embeddings and vectors is not None:
+    if cfg.use_embeddings:
+        if vectors is None:
+            raise ValueError("use_embeddings is set, but no vectors are given")
         blocks.append(vector_top_k(vectors, cfg.knn_embed, cfg.min_embed_cosine))
     if cfg.use_postal_blocker:
         blocks.append(postal_pairs(records, cfg.postal_cap, within))

@@ -44,29 +44,36 @@ class Trained:
         return cls(PipelineModel.load(f"{path}/model"), **meta)
 
 
-def _prepared(records: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Normal forms, candidates, and address and squish weights; the first two are written once."""
+def _prepared(records: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """Normal forms, candidates, and the weights of each cosine; the first two, and embeddings, are written once."""
     normal = cut(S.normalised(records))
-    return normal, cut(B.candidates(normal, cfg)), B.address_weights(normal, cfg), B.squish_weights(normal, cfg)
+    weights = {"addr_cos": B.address_weights(normal, cfg), "squish_cos": B.squish_weights(normal, cfg)}
+    vectors = None
+    if cfg.use_embeddings:
+        weights["embed_cos"] = cut(B.embedding_weights(normal, cfg))
+        vectors = B.embedding_vectors(normal, weights["embed_cos"], cfg)
+    return normal, cut(B.candidates(normal, cfg, vectors)), weights
 
 
-def _features(pairs: DataFrame, normal: DataFrame, wa: DataFrame, ws: DataFrame) -> DataFrame:
-    return P.all_features(paired_cosine(paired_cosine(pairs, wa, "addr_cos"), ws, "squish_cos"), normal)
+def _features(pairs: DataFrame, normal: DataFrame, weights: dict[str, DataFrame]) -> DataFrame:
+    for name, w in weights.items():
+        pairs = paired_cosine(pairs, w, name)
+    return P.all_features(pairs, normal)
 
 
 def train(records: DataFrame, truth: DataFrame, cfg: Config) -> Trained:
     """Blocks, labels, fits, tunes and refits; ``truth(source1_entity_id, matched)`` covers the S1 records of the split."""
     true = S.truth_pairs(truth)
     ids = cut(M.sampled_ids(truth.select(F.col("source1_entity_id").alias("s1_id")), cfg.max_train_entities, cfg.seed))
-    normal, candidates, wa, ws = _prepared(records, cfg)
+    normal, candidates, weights = _prepared(records, cfg)
     mine = candidates.join(ids, "s1_id", "left_semi")
     country = normal.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key")
     parts = cut(E.entity_split(ids, cfg.val_fraction, cfg.seed))
     labelled = B.label_pairs(mine, true).join(parts, "s1_id").withColumn("validation", F.col("part") == "val").join(country, "s1_id")
-    rows = cut(_features(labelled.drop("part"), normal, wa, ws))
+    rows = cut(_features(labelled.drop("part"), normal, weights))
     missed = B.missed_pairs(mine, true, ids, normal)
     injected = paired_cosine(missed, B.name_weights(normal, cfg), "name_cos").join(parts, "s1_id").withColumn("validation", F.col("part") == "val").join(country, "s1_id").withColumn("label", F.lit(1))
-    extra = cut(_features(injected.drop("part"), normal, wa, ws).select(*rows.columns))
+    extra = cut(_features(injected.drop("part"), normal, weights).select(*rows.columns))
     fit_rows = rows.unionByName(extra.filter("NOT validation")) if cfg.inject_missed else rows
     model = M.train(fit_rows, cfg)
     val_ids = parts.filter("part = 'val'").select("s1_id")
@@ -88,9 +95,9 @@ def train(records: DataFrame, truth: DataFrame, cfg: Config) -> Trained:
 
 def predict(records: DataFrame, trained: Trained, cfg: Config) -> tuple[DataFrame, DataFrame]:
     """(candidates, matches): every match is a candidate, and a target has one S1 record."""
-    normal, candidates, wa, ws = _prepared(records, cfg)
+    normal, candidates, weights = _prepared(records, cfg)
     country = normal.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key")
-    scored = M.score(trained.model, _features(candidates, normal, wa, ws)).join(country, "s1_id")
+    scored = M.score(trained.model, _features(candidates, normal, weights)).join(country, "s1_id")
     threshold = D.routed_threshold(trained.threshold, trained.cold, trained.seen)
     if cfg.use_cross_encoder:
         texts = records.select("entity_id", X.composed(F.col("business_name"), F.col("business_address"), F.col("country")).alias("t"))
