@@ -172,3 +172,24 @@ def test_synthetic_truth_holds(spark):
     assert truth.count() > 20
     assert truth.join(targets, truth["cand_id"] == targets["entity_id"], "left_anti").count() == 0
     assert targets.select("entity_id").distinct().count() == targets.count()
+
+
+def test_matcher_queries_train_on_the_whole_job(spark, monkeypatch):
+    """The queries fit with Config's defaults on all cosines, with the missed positives injected."""
+    from weftlink.plans import link_queries as Q
+
+    rows, extra = Q._training_rows(spark, "/root/testdata/sf0.01")
+    assert rows.filter("squish_cos > 0").count() and rows.filter("addr_cos > 0").count()
+    found = rows.filter("label = 1").select("s1_id", "cand_id").distinct()
+    assert extra.count() and extra.filter("label <> 1").count() == 0
+    assert extra.join(found, ["s1_id", "cand_id"], "left_semi").count() == 0
+    fits, colds = [], []
+    monkeypatch.setattr(Q.M, "train", lambda r, cfg, trees=None: fits.append((r, cfg, trees)))
+    monkeypatch.setattr(Q.M, "importances", lambda model: None)
+    monkeypatch.setattr(Q.M, "cold_threshold", lambda r, e, truth, ids, cfg, warm: colds.append((e.count(), cfg)) or (warm, []))
+    Q.feature_importance(spark, "/root/testdata/sf0.01")
+    ((fitted, cfg, trees),) = fits
+    assert cfg == Q.Config() and trees is None
+    assert fitted.count() == rows.count() + extra.filter("NOT validation").count()
+    Q.cold_country_threshold(spark, "/root/testdata/sf0.01")
+    assert colds == [(extra.count(), Q.Config())]

@@ -262,31 +262,39 @@ def validate_subset(spark, sf_dir):
 
 
 def _training_rows(spark, sf_dir):
+    """(rows, extra): the judged pairs with all features and the true pairs that blocking missed, as the pipeline trains on them."""
     normal = cut(_normal(spark, sf_dir))
-    judged = B.label_pairs(_scored(spark, sf_dir).join(_judged(spark, sf_dir), "s1_id", "left_semi"), _true_pairs(spark, sf_dir))
-    pairs = judged.withColumnRenamed("score", "name_cos").withColumn("addr_cos", F.lit(0.0))
-    rows = P.all_features(tfidf.paired_cosine(pairs.drop("addr_cos"), B.address_weights(normal, CFG), "addr_cos"), normal)
-    parts = E.entity_split(_judged(spark, sf_dir), CFG.val_fraction, CFG.seed)
-    return cut(rows.join(parts, "s1_id").withColumn("validation", F.col("part") == "val").drop("part"))
+    ids, true = _judged(spark, sf_dir), _true_pairs(spark, sf_dir)
+    judged = cut(B.label_pairs(_scored(spark, sf_dir).join(ids, "s1_id", "left_semi"), true).withColumnRenamed("score", "name_cos").withColumn("missed", F.lit(False)))
+    missed = B.missed_pairs(judged, true, ids, normal).withColumn("label", F.lit(1)).withColumn("missed", F.lit(True))
+    parts = E.entity_split(ids, CFG.val_fraction, CFG.seed).withColumn("validation", F.col("part") == "val").drop("part")
+    country = normal.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key")
+    pairs = cut(judged.unionByName(tfidf.paired_cosine(missed, B.name_weights(normal, CFG), "name_cos")).join(parts, "s1_id").join(country, "s1_id"))
+    # written one after the other: the shuffle files of one cosine are gone before the next
+    pairs = cut(tfidf.paired_cosine(pairs, B.address_weights(normal, CFG), "addr_cos"))
+    pairs = cut(tfidf.paired_cosine(pairs, B.squish_weights(normal, CFG), "squish_cos"))
+    every = cut(P.all_features(pairs, normal))
+    return every.filter("NOT missed").drop("missed"), every.filter("missed").drop("missed")
+
+
+def _fitted(rows: DataFrame, extra: DataFrame):
+    return M.train(rows.unionByName(extra.filter("NOT validation")), CFG)
 
 
 def matcher_scores(spark, sf_dir):
-    rows = _training_rows(spark, sf_dir)
-    model = M.train(rows, Config(min_child=5, max_depth=4), trees=10)
-    return M.score(model, rows.filter("validation")).select("s1_id", "cand_id", "label", "score")
+    rows, extra = _training_rows(spark, sf_dir)
+    return M.score(_fitted(rows, extra), rows.filter("validation")).select("s1_id", "cand_id", "label", "score")
 
 
 def feature_importance(spark, sf_dir):
-    return M.importances(M.train(_training_rows(spark, sf_dir), Config(min_child=5, max_depth=4), trees=10))
+    return M.importances(_fitted(*_training_rows(spark, sf_dir)))
 
 
 def cold_country_threshold(spark, sf_dir):
-    rows = _training_rows(spark, sf_dir)
+    rows, extra = _training_rows(spark, sf_dir)
     country = _normal(spark, sf_dir).filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key")
-    rows = cut(rows.join(country, "s1_id"))
     ids = _judged(spark, sf_dir).join(country, "s1_id")
-    cfg = Config(min_child=5, max_depth=3, loco_min_positives=30, loco_trees=5)
-    cold, folds = M.cold_threshold(rows, rows.limit(0), _true_pairs(spark, sf_dir), ids, cfg, 0.5)
+    cold, folds = M.cold_threshold(rows, extra, _true_pairs(spark, sf_dir), ids, CFG, 0.5)
     return spark.createDataFrame([*folds, ("unseen", cold)], "country_key string, t double")
 
 
