@@ -120,6 +120,20 @@ def test_languages(spark):
     assert langid.segments(none, "doc_id", "text", "lang", None).count() == 0
 
 
+def test_every_text_has_a_language(spark, tmp_path):
+    """p9_documents gives texts without a confident sentence their best language, and NULL where there are no letters."""
+    from weftlink.llm import queries
+
+    extra = [(900, "== Der alte Ort ==", None, ""), (901, "12 34", "en", ""), (902, "", "en", ""), (903, None, "en", ""), (904, "  ", "en", "")]
+    df = spark.createDataFrame(documents(random.Random(10)) + extra, "doc_id long, text string, lang string, label string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.p9_documents(spark, str(tmp_path)).filter("main").collect()
+    by_id = {r["doc_id"]: r for r in got}
+    assert len(got) == len(by_id) == 243 and not {902, 903} & set(by_id)
+    assert by_id[900]["lang"] == "de" and 0 < by_id[900]["confidence"] <= 1
+    assert all(by_id[i]["lang"] is None and by_id[i]["confidence"] is None for i in (901, 904))
+
+
 def test_markup():
     text = "{{A|{{b}}}}''Kept'' [[Link|word]] here.<ref name=x>gone</ref> <!-- gone -->\n{| class\n| gone\n|}\nOpen table:\n{|\n| gone\nLast whole line stays here."
     assert langid.sentences(text) == ["Kept word here.", "Last whole line stays here."]

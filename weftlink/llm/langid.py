@@ -379,6 +379,33 @@ def document_languages(parts: DataFrame) -> DataFrame:
     return per.withColumn("main", first).drop("n_chars")
 
 
+def unsure_languages(docs: DataFrame, id_col: str, text_col: str, lang_col: str, model: Model | None, parts: DataFrame) -> DataFrame:
+    """Rows as of ``document_languages`` for the non-empty texts without any segment: the best language of the whole text.
+
+    The confidence is that of the text without its markup, or as it is where nothing else is left; there are no
+    sentences to count.  Without letters, or without a model, language and confidence are NULL.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), label_code(F.col(lang_col)).alias("label"), F.col(text_col).alias("text")).filter("text <> ''")
+    there = parts.select(F.col("doc_id").alias("there")).distinct()
+    left = rows.join(there, F.col("doc_id").eqNullSafe(F.col("there")), "left_anti")
+    # of rows that repeat a document, one counts
+    left = left.groupBy("doc_id").agg(F.min(F.struct("label", "text")).alias("r")).select("doc_id", "r.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for pdf in batches:
+            texts = [s if any(map(str.isalpha, s := strip_markup(t))) else t for t in pdf["text"]]
+            lang, conf = [None] * len(texts), [None] * len(texts)
+            at = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))] if m is not None else []
+            for i, p in zip(at, m.probabilities([texts[i] for i in at]) if at else ()):
+                lang[i], conf[i] = m.languages[p.argmax()], float(p.max())
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "lang": pd.Series(lang, pdf.index, object), "confidence": pd.Series(conf, pdf.index, float)})
+
+    out = left.mapInPandas(run, f"doc_id {dict(rows.dtypes)['doc_id']}, label string, lang string, confidence double")
+    return out.select("doc_id", "label", "lang", F.lit(0).cast("bigint").alias("n_sentences"), F.when(F.col("lang").isNotNull(), F.col("confidence")).alias("confidence"), F.lit(True).alias("main"))
+
+
 def mislabelled(parts: DataFrame, least: float = 0.6) -> DataFrame:
     """(doc_id, lang): documents without a label, with another language's label, or in several languages.
 

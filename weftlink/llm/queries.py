@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftlink.llm import addresses, langid, lookalike, matching, mixing, names, packing, topn
-from weftlink.session import table
+from weftlink.session import cut, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,10 @@ def p9_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.document_languages(_segments(spark, sf_dir))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, "doc_id", "text", "lang")
+    parts = cut(langid.segments(docs, "doc_id", "text", "lang", model))
+    return langid.document_languages(parts).unionByName(langid.unsure_languages(docs, "doc_id", "text", "lang", model, parts))
 
 
 QUERIES = {
