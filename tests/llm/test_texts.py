@@ -137,3 +137,35 @@ def test_every_text_has_a_language(spark, tmp_path):
 def test_markup():
     text = "{{A|{{b}}}}''Kept'' [[Link|word]] here.<ref name=x>gone</ref> <!-- gone -->\n{| class\n| gone\n|}\nOpen table:\n{|\n| gone\nLast whole line stays here."
     assert langid.sentences(text) == ["Kept word here.", "Last whole line stays here."]
+
+
+def test_sentences_inside_markup():
+    """Whole sentences of quotations, table cells and captions count; fields, heads and categories do not."""
+    quote = "Vor {{Quote|text=Niemand weiß, wer das [[Alte Karte|Blatt]] gezeichnet hat. Es blieb verschollen bis heute.|source=Ort}} nach."
+    assert langid.sentences(quote) == ["Niemand weiß, wer das Blatt gezeichnet hat.", "Es blieb verschollen bis heute."]
+    table = '{| class="wikitable"\n|+ The best known table of them all.\n! A head of words that ends here. !! B\n|-\n| 12 || style="x" | The mill was moved to the other bank.\n| Les impôts ne furent jamais payés.\n|}'
+    assert [s for s in langid.sentences(table) if langid.prose(s)] == ["The mill was moved to the other bank.", "Les impôts ne furent jamais payés."]
+    picture = "[[File:Old.jpg|thumb|Le vieux moulin de [[Nancy|la ville]] fut déplacé.]]Text goes on here after it.\n[[Category:Mills of the old town.]]"
+    assert langid.sentences(picture) == ["Le vieux moulin de la ville fut déplacé.", "Text goes on here after it."]
+    fields = "{{Infobox site\n| motto = We shall not pay the taxes.\n| map = {{map|a.png|size=3}}\n}}\n| motto = We shall not pay the taxes."
+    assert langid.sentences(fields) == []
+
+
+#: Pages whose languages were set by hand.
+BY_HAND = [
+    ("The old mill was moved to the other side of the river.\n{{Quote|text=Niemand weiß, wer den ersten Brief über die Stadt geschrieben hat.|source=X}}", "en", {"en", "de"}),
+    ('{| class="wikitable"\n! Jahr !! Ort\n|-\n| 1800 || Es gab viele Häuser, aber nur wenige hatten Fenster aus Glas.\n|}\nNobody knows who wrote the first letter about the town.', "en", {"en", "de"}),
+    ("[[File:A.jpg|thumb|Personne ne sait qui a écrit la première lettre sur [[X|la ville]].]]\nThe council could not pay the taxes any longer this year.", "en", {"en", "fr"}),
+    ("{{Quote|text=Le conseil ne pouvait plus payer les impôts cette année.}}", "en", {"fr"}),
+    ("== Die alte Stadt ==\nThere were many houses but only a few had glass windows (''die alte Stadt'').", "en", set()),
+    ("{| class=x\n! Jahr der Gründung der Stadt\n|-\n| 12\n|}", None, set()),
+    ("#REDIRECT [[Die alte Stadt an der Elbe]]", None, set()),
+]
+
+
+def test_languages_of_pages_labelled_by_hand(spark):
+    rows = documents(random.Random(11)) + [(1000 + i, text, label, "") for i, (text, label, _) in enumerate(BY_HAND)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, label string")
+    parts = langid.segments(df, "doc_id", "text", "lang", langid.train(df, "doc_id", "text", "lang"))
+    found = {(r["doc_id"], r["lang"]) for r in langid.mislabelled(parts).filter("doc_id >= 1000").collect()}
+    assert found == {(1000 + i, lang) for i, (_, _, langs) in enumerate(BY_HAND) for lang in langs}

@@ -32,12 +32,16 @@ THREE = {
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
 _REF = re.compile(r"<ref[^>/]*/>|<ref[^>]*>.*?</ref>", re.S)
-_TEMPLATE = re.compile(r"\{\{[^{}]*\}\}|\{\{\{[^{}]*\}\}\}")
-_TABLE = re.compile(r"\{\|.*?(?:\n\|\}|\Z)", re.S)
-_LINK = re.compile(r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]")
+_TEMPLATE = re.compile(r"\{\{([^{}]*)\}\}|\{\{\{[^{}]*\}\}\}")
+#: Templates whose arguments are fields, not prose.
+_FIELDS = re.compile(r"\s*(?:infobox|navbox|taxobox|#)", re.I)
+_LINK = re.compile(r"\[\[([^\[\]]*)\]\]")
+#: Names of the namespaces of pictures and categories in the languages told apart here.
+_PICTURES = set("file image media datei bild archivo imagen fichier immagine bestand afbeelding plik grafika ficheiro imagem файл изображение".split())
+_CATEGORIES = set("category kategorie categoría catégorie categoria categorie kategoria категория".split())
 _TAG = re.compile(r"<[^<>]{0,200}>")
 _QUOTE = re.compile(r"'{2,}")
-_SKIP = re.compile(r"^\s*(?:[=|!{}#;]|\*\s*\[|\[\[|(?:category|file|image)\s*:)", re.I)
+_SKIP = re.compile(r"^\s*(?:[=!{}#;]|\|\s*(?:[-}+]|[\w -]*=[^|]*$)|\*\s*\[)")
 _END = re.compile(r"(?<=[.!?…])[\"'»”’)]*\s+(?=\S)")
 _EDGE = "\"'«»“”„’‘()[]{}<>.,;:!?…-–—*=|/\\0123456789%#&+_"
 
@@ -49,22 +53,43 @@ def label_code(col: Column) -> Column:
     return F.when(F.length(base) == 2, base).when(F.length(base) == 3, three[base])
 
 
+def _argued(m: re.Match) -> str:
+    """What stays of a template: arguments that are sentences, as of quotations, each on a line of its own."""
+    if not m[1] or len(m[1]) < 25 or _FIELDS.match(m[1]):
+        return " "
+    kept = [a for a in (x.partition("=")[2].strip() or x.strip() for x in m[1].split("|")[1:]) if a.count(" ") >= 3 and a.rstrip("\"'»”’) ")[-1:] in ".!?…"]
+    return "\n" + "\n".join(kept) + "\n" if kept else " "
+
+
+def _linked(m: re.Match) -> str:
+    """What stays of a link: its text; of a picture its caption, on a line of its own; of a category nothing."""
+    target, more, shown = m[1].partition("|")
+    shown = shown.rpartition("|")[2] if more else target
+    if ":" in target:
+        space = target.partition(":")[0].strip().lower()
+        if space in _CATEGORIES:
+            return " "
+        if space in _PICTURES:
+            return f"\n{shown}\n" if more else " "
+    return shown
+
+
 def strip_markup(text: str) -> str:
-    """Prose lines of a page: no templates, tables, references, comments, tags or link targets."""
+    """Prose of a page: no comments, references, fields, tags or link targets; table lines stay as they are.
+
+    Sentences in arguments of templates (quotations) and captions of pictures stay, as lines of their own.
+    """
     if "<" in text:
         text = _COMMENT.sub(" ", text)
         text = _REF.sub(" ", text)
-    for _ in range(12):
-        if "{{" not in text:
-            break
-        text, n = _TEMPLATE.subn(" ", text)
-        if not n:
-            break
-    if "{|" in text:
-        # a table that is not closed ends at the first line that is none of its own
-        text = _TABLE.sub("\n", text) if text.count("{|") == text.count("\n|}") else _open_tables(text)
-    if "[[" in text:
-        text = _LINK.sub(r"\1", text)
+    # links first: their bars are none of a template's, and a caption can hold links of its own
+    for pattern, put, sign in ((_LINK, _linked, "[["), (_TEMPLATE, _argued, "{{")):
+        for _ in range(12):
+            if sign not in text:
+                break
+            text, n = pattern.subn(put, text)
+            if not n:
+                break
     if "''" in text:
         text = _QUOTE.sub("", text)
     if "<" in text:
@@ -74,28 +99,20 @@ def strip_markup(text: str) -> str:
     return text
 
 
-def _open_tables(text: str) -> str:
-    """Drops table lines one by one where tables are not closed properly."""
-    out, inside = [], False
-    for line in text.split("\n"):
-        s = line.lstrip()
-        if s.startswith("{|"):
-            inside = True
-        elif inside and not s.startswith(("|", "!")) and s:
-            inside = False
-        if not inside and not s.startswith(("|}", "|-", "{|")):
-            out.append(line)
-        if s.startswith("|}"):
-            inside = False
-    return "\n".join(out)
-
-
 def sentences(text: str) -> list[str]:
-    """Sentences of the prose lines of a text, in order."""
+    """Sentences of the prose lines and table cells of a text, in order; headings and table heads have none."""
     out = []
     for line in strip_markup(text).split("\n"):
-        if len(line) > 12 and not _SKIP.match(line):
-            out += _END.split(line.strip(" *:\t")) if " " in line else []
+        if len(line) <= 12 or " " not in line or _SKIP.match(line):
+            continue
+        if line.lstrip()[0] == "|":
+            # the last part of a cell is its text, any before it are its style
+            for cell in line.strip()[1:].split("||"):
+                cell = cell.rpartition("|")[2].strip(" *:\t")
+                if len(cell) > 12:
+                    out += _END.split(cell)
+        else:
+            out += _END.split(line.strip(" *:\t"))
     return out
 
 
@@ -152,16 +169,27 @@ def gram_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     return df, every
 
 
-def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, min_chars: int = 200) -> pd.DataFrame:
-    """At most ``per_language`` labelled documents of each language, chosen by a hash of the id."""
+def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, per_document: int, min_chars: int = 200, max_chars: int = 20_000) -> pd.DataFrame:
+    """(lang, found) of at most ``per_language`` labelled documents of each language, chosen by a hash of the id.
+
+    ``found`` has the first ``per_document`` different sentences.  Documents of ``min_chars`` to ``max_chars``
+    characters are fitted on (all are classified).  Labels are two letters, so there can be no more than
+    676 languages, and that many times ``per_language`` rows here.
+    """
     rows = docs.select(F.col(id_col).alias("id"), label_code(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text"))
-    usable = rows.filter(F.col("lang").isNotNull() & F.length("text").between(min_chars, 20_000))
+    usable = rows.filter(F.col("lang").isNotNull() & F.length("text").between(min_chars, max_chars))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = usable.select("id", "lang").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).select("id", "lang")
-    ids = chosen.limit(100 * per_language).collect()
-    known = usable.sparkSession.createDataFrame([(r["id"],) for r in ids], chosen.select("id").schema) if ids else chosen.select("id").limit(0)
-    got = usable.join(F.broadcast(known), "id", "left_semi")
-    return got.limit(100 * per_language).toPandas().sort_values("id", kind="stable")
+    chosen = usable.select("id", "lang").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).select("id", "lang").distinct()
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [[s for s in dict.fromkeys(sentences(t)) if prose(s)][:per_document] for t in pdf["text"]]
+            yield pdf[["id", "lang"]].assign(found=found)
+
+    # few and bounded rows, so the texts are not shuffled
+    got = usable.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("id", "lang", "text")
+    got = got.mapInPandas(cut, f"id {dict(rows.dtypes)['id']}, lang string, found array<string>")
+    return got.toPandas().sort_values(["id", "lang"], kind="stable")
 
 
 class Model:
@@ -277,14 +305,14 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langua
     idf = np.log((1 + every) / (1 + frequency)) + 1
     # scaled to a mean square of 1 over the corpus, so that sentences are about unit vectors
     idf /= np.sqrt(np.average(idf**2, weights=frequency + 1e-9))
-    sample = training_sample(docs, id_col, text_col, lang_col, per_language)
+    sample = training_sample(docs, id_col, text_col, lang_col, per_language, per_document)
     languages = sorted(sample["lang"].unique())
     if not languages:
         return None
     model = Model(languages, idf)
     xs, ys, of, texts = [], [], [], []
-    for d, (lang, text) in enumerate(zip(sample["lang"], sample["text"])):
-        for s in [s for s in dict.fromkeys(sentences(text)) if prose(s)][:per_document]:
+    for d, (lang, found) in enumerate(zip(sample["lang"], sample["found"])):
+        for s in found:
             xs.append(model.vector(s))
             ys.append(languages.index(lang))
             of.append(d)
