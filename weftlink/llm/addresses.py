@@ -138,7 +138,7 @@ def parsed(df: DataFrame, id_col: str, address_col: str, country_col: str | None
             yield pd.concat([pdf[["address"]].reset_index(drop=True), pd.DataFrame(got, columns=["street", "town", "post", "number", "unit"])], axis=1)
 
     once = rows.select("address").distinct().mapInPandas(run, "address string, " + _PARSED)
-    return rows.select("id", "address").join(once, "address")
+    return rows.select("id", "address").join(once.hint("merge"), "address")
 
 
 def _near(a: str, b: str) -> int:
@@ -235,7 +235,7 @@ def gazetteer(phrases: DataFrame) -> DataFrame:
     weaker = (F.col("n_") > F.col("n")) | ((F.col("n_") == F.col("n")) & (F.col("entry_id_") < F.col("entry_id")))
     keyed, keyed_ = full.withColumn("k", keys("")), other.withColumn("k", keys("_"))
     pairs = (
-        keyed.join(keyed_, "k")
+        keyed.join(keyed_.hint("merge"), "k")
         .filter(weaker & (F.levenshtein("street", "street_", 6) >= 0))
         .drop("k")
         .dropDuplicates(["entry_id", "entry_id_"])
@@ -243,7 +243,7 @@ def gazetteer(phrases: DataFrame) -> DataFrame:
         .filter("apart <= 2.9")
     )
     drawn = pairs.groupBy("entry_id").agg(F.max(F.struct("n_", F.col("entry_id_").alias("c"))).c.alias("to"))
-    once = full.join(drawn, "entry_id", "left").withColumn("to", F.coalesce("to", "entry_id")).select("entry_id", "street", "town", "post", "n", "to")
+    once = full.join(drawn.hint("merge"), "entry_id", "left").withColumn("to", F.coalesce("to", "entry_id")).select("entry_id", "street", "town", "post", "n", "to")
     # what it is drawn to may itself be drawn further
     hop = once.select(F.col("entry_id").alias("to"), F.col("to").alias("to2"))
     twice = once.join(hop, "to").select("entry_id", "street", "town", "post", "n", F.col("to2").alias("to"))
@@ -263,7 +263,7 @@ def resolve(phrases: DataFrame, entries: DataFrame) -> DataFrame:
         F.explode(F.concat(F.when(F.col("post") != "", F.array(F.concat(F.lit("p"), "post"))).otherwise(F.array().cast("array<string>")), F.transform(_spellings("street"), lambda x: F.concat(F.lit("s"), x)))).alias("k"),
     )
     found = (
-        keys.join(offered, "k")
+        keys.join(offered.hint("merge"), "k")
         .filter(F.levenshtein("street", "e.s", 6) >= 0)
         .groupBy("street", "town", "post")
         .agg(F.collect_set("e").alias("found"))
@@ -275,7 +275,7 @@ def resolve(phrases: DataFrame, entries: DataFrame) -> DataFrame:
 
     picked = found.select("street", "town", "post", pick("street", "town", "post", "found").alias("entry_id"))
     own = F.concat_ws("|", F.lit("own"), "street", F.when(F.col("post") != "", F.col("post")).otherwise(F.col("town")))
-    return phrases.select("street", "town", "post").join(picked, ["street", "town", "post"], "left").select(
+    return phrases.select("street", "town", "post").join(picked.hint("merge"), ["street", "town", "post"], "left").select(
         "street", "town", "post", F.coalesce("entry_id", own).alias("street_id")
     )
 
@@ -290,7 +290,7 @@ def buildings(df: DataFrame, id_col: str, address_col: str, country_col: str | N
     rows = cut(parsed(df, id_col, address_col, country_col))
     phrases = cut(rows.groupBy("street", "town", "post").agg(F.count(F.lit(1)).alias("n")))
     known = resolve(phrases, gazetteer(phrases))
-    out = rows.join(known, ["street", "town", "post"])
+    out = rows.join(known.hint("merge"), ["street", "town", "post"])
     whole = F.concat(F.lit("text|"), F.trim(F.lower(F.regexp_replace("address", r"[\s,.]+", " "))))
     usable = (F.col("number") != "") & (F.length("street") >= 3)
     return out.select(
@@ -303,4 +303,4 @@ def same_building(df: DataFrame, id_col: str, address_col: str, country_col: str
     at = buildings(df, id_col, address_col, country_col).select("id", "building").distinct()
     a = at.select(F.col("id").alias("id_a"), "building")
     b = at.select(F.col("id").alias("id_b"), "building")
-    return a.join(b, "building").filter("id_a < id_b").select("id_a", "id_b").distinct()
+    return a.join(b.hint("merge"), "building").filter("id_a < id_b").select("id_a", "id_b").distinct()

@@ -52,9 +52,9 @@ def described(sources: DataFrame) -> DataFrame:
     named = name_classes(once, "name").select("name", "class_id", "core", "parts", "common")
     letters = _letters(once.select("name").filter("trim(name) <> ''").distinct())
     return cut(
-        once.join(at, "id", "left")
-        .join(named, "name", "left")
-        .join(letters, "name", "left")
+        once.join(at.hint("merge"), "id", "left")
+        .join(named.hint("merge"), "name", "left")
+        .join(letters.hint("merge"), "name", "left")
         .select(
             "id", "side", "class_id", "core", "parts", "common", "plain", "letters", "head", F.coalesce("acronym", F.lit(False)).alias("acronym"),
             "building", "number", "street", "town", "post", F.lower(F.regexp_replace("address", r"[\s,.]+", " ")).alias("line"),
@@ -157,9 +157,9 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
         one = _keyed(ours, {k: (r[3], r[1]) for k, r in numbered.items() if k not in several})
         by_key = one.groupBy("rule_no", "k").agg(F.min("id").alias("reference_id"), F.count(F.lit(1)).alias("m"))
         by_key = by_key.filter((F.col("m") == 1) | ~F.col("rule_no").isin(single)).drop("m")
-        left_over = theirs if done is None else theirs.join(done.select(F.col("target_id").alias("id")), "id", "left_anti")
+        left_over = theirs if done is None else theirs.join(done.select(F.col("target_id").alias("id")).hint("merge"), "id", "left_anti")
         asked = _keyed(left_over, {k: (r[4], r[2]) for k, r in numbered.items()}).withColumnRenamed("id", "target_id")
-        met = asked.join(by_key, ["rule_no", "k"])
+        met = asked.join(by_key.hint("merge"), ["rule_no", "k"])
         if several:
             # records of the same parts in one building share the same keys with any target: the smallest id stands for them
             alike = ours.groupBy("building", "parts").agg(F.min("id").alias("id"))
@@ -184,14 +184,12 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
 
 def _met(asked: DataFrame, every: DataFrame) -> DataFrame:
     """(target_id, rule_no, k, reference_id): every target with every reference record of its key, hot keys salted."""
-    # at most one key in a thousand rows is here
-    hot = F.broadcast(
-        every.groupBy("rule_no", "k").agg(F.ceil(F.count(F.lit(1)) / _HOT).cast("int").alias("salts")).filter("salts > 1")
-    )
+    # at most one key in a thousand rows is here; whether that is little enough to be broadcast, the measured size decides
+    hot = every.groupBy("rule_no", "k").agg(F.ceil(F.count(F.lit(1)) / _HOT).cast("int").alias("salts")).filter("salts > 1")
     ours = every.withColumnRenamed("id", "reference_id").join(hot, ["rule_no", "k"], "left")
     ours = ours.withColumn("salt", F.pmod(F.xxhash64("reference_id"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
     theirs = asked.join(hot, ["rule_no", "k"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-    return theirs.join(ours, ["rule_no", "k", "salt"]).drop("salt")
+    return theirs.join(ours.hint("merge"), ["rule_no", "k", "salt"]).drop("salt")
 
 
 def _keyed(records: DataFrame, keys: dict[int, tuple[Column, Column]]) -> DataFrame:
@@ -207,8 +205,8 @@ def _keyed(records: DataFrame, keys: dict[int, tuple[Column, Column]]) -> DataFr
 def _precision(found: DataFrame, judged: DataFrame, right: DataFrame, prior: float, weight: float) -> dict[int, float]:
     """Smoothed share of right pairs by rule, over pairs with a labelled reference record."""
     rows = (
-        found.join(judged, F.col("reference_id") == judged["id"], "left_semi")
-        .join(right, (F.col("reference_id") == right["id"]) & (F.col("target_id") == right["right_id"]), "left")
+        found.join(judged.hint("merge"), F.col("reference_id") == judged["id"], "left_semi")
+        .join(right.hint("merge"), (F.col("reference_id") == right["id"]) & (F.col("target_id") == right["right_id"]), "left")
         .groupBy("rule_no")
         .agg(F.count(F.lit(1)).alias("n"), F.count("right_id").alias("tp"))
         .collect()

@@ -295,7 +295,7 @@ def near_cores(units: DataFrame) -> DataFrame:
     ta, tb = F.coalesce("ta", "a"), F.coalesce("tb", "b")
     # swaps count as two in this distance
     close = F.levenshtein(ta, tb, 6)
-    met = keyed(probing, "a", "ta").join(keyed(indexed, "b", "tb"), "k").filter(once & (close >= 0) & (close <= 2 * edits))
+    met = keyed(probing, "a", "ta").join(keyed(indexed, "b", "tb").hint("merge"), "k").filter(once & (close >= 0) & (close <= 2 * edits))
     pairs = met.select("a", "b", ta.alias("ta"), tb.alias("tb")).distinct()
 
     @F.pandas_udf("boolean")
@@ -320,7 +320,7 @@ def _classed(df: DataFrame, name_col: str) -> tuple[DataFrame, DataFrame]:
     every = analysed(df, name_col)
     # the unit of a class: a core with the common words that mark its trade
     units = every.groupBy("core").agg(
-        F.count(F.lit(1)).alias("n"), F.first("arranged").alias("arranged"), F.array_distinct(F.flatten(F.collect_set("common"))).alias("commons")
+        F.count(F.lit(1)).alias("n"), F.min("arranged").alias("arranged"), F.array_distinct(F.flatten(F.collect_set("common"))).alias("commons")
     )
     units = cut(units.filter("core <> ''"))
     edges = near_cores(units.select("core", "arranged", "commons"))
@@ -332,22 +332,22 @@ def _classed(df: DataFrame, name_col: str) -> tuple[DataFrame, DataFrame]:
 
     left = known.select(F.col("core").alias("a"), F.col("n").alias("na"), F.col("commons").alias("ca"))
     right = known.select(F.col("core").alias("b"), F.col("n").alias("nb"), F.col("commons").alias("cb"))
-    links = cut(edges.join(left, "a").join(right, "b").filter(agree("ca", "cb")).select("a", "na", "b", "nb"))
+    links = cut(edges.join(left.hint("merge"), "a").join(right.hint("merge"), "b").filter(agree("ca", "cb")).select("a", "na", "b", "nb"))
     up = F.expr("nb > na OR (nb = na AND b < a)")
     drawn = links.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(up, F.struct("nb", "b")).otherwise(F.struct(F.col("na").alias("nb"), F.col("a").alias("b"))).alias("x"))
     to = drawn.groupBy("a").agg(F.min(F.struct(-F.col("x.nb"), F.col("x.b").alias("b"))).b.alias("to"))
-    ends = cut(units.join(to, units["core"] == to["a"], "left").select("core", F.coalesce("to", "core").alias("to"), F.col("to").isNotNull().alias("moved")))
+    ends = cut(units.join(to.hint("merge"), units["core"] == to["a"], "left").select("core", F.coalesce("to", "core").alias("to"), F.col("to").isNotNull().alias("moved")))
     # every round doubles the steps; no step leads back, as each goes to a more frequent core or an earlier one of the same count
     while ends.filter("moved").limit(1).count():
         hop = ends.select(F.col("core").alias("to"), F.col("to").alias("to2"))
-        ends = cut(ends.join(hop, "to").select("core", F.col("to2").alias("to"), (F.col("to") != F.col("to2")).alias("moved")))
+        ends = cut(ends.join(hop.hint("merge"), "to").select("core", F.col("to2").alias("to"), (F.col("to") != F.col("to2")).alias("moved")))
     ends = ends.select("core", F.col("to").alias("class_core"))
-    out = every.join(ends, "core", "left")
+    out = every.join(ends.hint("merge"), "core", "left")
     words = F.concat(F.lit("="), F.array_join("common", " "), F.lit("|"), F.array_join("initials", " "), F.lit("|"), "core")
     named = out.select("name", F.coalesce("class_core", words).alias("class_id"), "core", "parts", "common", "initials")
     class_a = ends.select(F.col("core").alias("a"), F.col("class_core").alias("class_a"))
     class_b = ends.select(F.col("core").alias("b"), F.col("class_core").alias("class_b"))
-    apart = links.select("a", "b").join(class_a, "a").join(class_b, "b").filter("class_a <> class_b")
+    apart = links.select("a", "b").join(class_a.hint("merge"), "a").join(class_b.hint("merge"), "b").filter("class_a <> class_b")
     return _initialled(cut(named)), apart
 
 
@@ -359,11 +359,11 @@ def _initialled(named: DataFrame) -> DataFrame:
     one = full.select(
         F.explode(F.expr(f"transform(sequence(0, size(parts) - 1), i -> concat(left(parts[i], 1), '|', array_join({rest}, ' ')))")).alias("k"),
         F.col("class_id").alias("full_class"), F.col("common").alias("full_common"),
-    ).dropDuplicates(["k", "full_class"])
+    ).groupBy("k", "full_class").agg(F.array_distinct(F.flatten(F.collect_set("full_common"))).alias("full_common"))
     asked = short.select("name", "common", F.concat(F.element_at("initials", 1), F.lit("|"), F.array_join(F.array_sort("parts"), " ")).alias("k"))
-    met = asked.join(one, "k").filter(F.arrays_overlap("common", "full_common"))
+    met = asked.join(one.hint("merge"), "k").filter(F.arrays_overlap("common", "full_common"))
     sure = met.groupBy("name").agg(F.min("full_class").alias("to"), F.countDistinct("full_class").alias("m")).filter("m = 1")
-    return named.join(sure.select("name", "to"), "name", "left").select(
+    return named.join(sure.select("name", "to").hint("merge"), "name", "left").select(
         "name", F.coalesce("to", "class_id").alias("class_id"), "core", "parts", "common", "initials"
     )
 
@@ -377,7 +377,7 @@ def same_organisation(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """
     classes, apart = _classed(df, name_col)
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(name_col).cast("string").alias("name")).filter("id IS NOT NULL AND trim(name) <> ''").distinct()
-    at = rows.join(classes, "name").select("id", "class_id", "core", "common")
+    at = rows.join(classes.hint("merge"), "name").select("id", "class_id", "core", "common")
     a = at.select(F.col("id").alias("id_a"), "class_id", F.col("common").alias("ca"))
     b = at.select(F.col("id").alias("id_b"), "class_id", F.col("common").alias("cb"))
 
@@ -385,9 +385,9 @@ def same_organisation(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
     def agree(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([alike(list(s), list(t)) for s, t in zip(x, y)])
 
-    inside = a.join(b, "class_id").filter("id_a < id_b").select("id_a", "ca", "id_b", "cb")
+    inside = a.join(b.hint("merge"), "class_id").filter("id_a < id_b").select("id_a", "ca", "id_b", "cb")
     near_a = at.select(F.col("id").alias("id_a"), F.col("core").alias("a"), F.col("class_id").alias("class_a"), F.col("common").alias("ca"))
     near_b = at.select(F.col("id").alias("id_b"), F.col("core").alias("b"), F.col("class_id").alias("class_b"), F.col("common").alias("cb"))
-    across = apart.join(near_a, ["a", "class_a"]).join(near_b, ["b", "class_b"]).filter("id_a <> id_b").select("id_a", "ca", "id_b", "cb")
+    across = apart.join(near_a.hint("merge"), ["a", "class_a"]).join(near_b.hint("merge"), ["b", "class_b"]).filter("id_a <> id_b").select("id_a", "ca", "id_b", "cb")
     met = inside.unionByName(across).filter(agree("ca", "cb"))
     return met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
