@@ -7,7 +7,7 @@ from weftlink.operators import metrics as E
 from weftlink.operators import synth, validate
 from weftlink.operators.features import FEATURES, all_features
 from weftlink.operators.matcher import clipped_median
-from weftlink.operators.tfidf import text_weights, top_k
+from weftlink.operators.tfidf import paired_cosine, text_vectors, text_weights, top_k
 from weftlink.plans.cli import config_of
 from weftlink.sources import records as S
 
@@ -32,12 +32,53 @@ def test_missing_column(spark):
 
 
 def test_top_k_and_floor(records):
-    w = text_weights(records, "core_name", 3, 4, min_df=1)
+    w = text_vectors(records, "core_name", 3, 4, min_df=1)
     got = {(r["s1_id"], r["cand_id"]): r["cos"] for r in top_k(w, 1, 0.1).collect()}
     assert {("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-2", "S2-2")} == set(got)
     assert all(0.1 <= v <= 1 for v in got.values())
 
 
+def test_vectors_are_the_weights(records):
+    """Arrays and long rows hold the same weights; cosines and the best targets are those of all pairs compared one by one."""
+    for within in (True, False):
+        long, plain = text_weights(records, "core_name", 3, 4, within, min_df=1), {}
+        for r in long.collect():
+            plain.setdefault((r["entity_id"], r["source"], r["country_key"]), {})[r["gram"]] = r["w"]
+        vectors = text_vectors(records, "core_name", 3, 4, within, min_df=1)
+        assert {r["entity_id"]: sorted(round(x, 9) for x in r["w"]) for r in vectors.collect()} == {k[0]: sorted(round(x, 9) for x in v.values()) for k, v in plain.items()}
+        assert all(r["grams"] == sorted(r["grams"]) for r in vectors.collect())
+        cos = {(a[0], b[0]): round(sum(x * plain[b].get(g, 0.0) for g, x in plain[a].items()), 6) for a in plain for b in plain if a[1] == 1 and b[1] > 1 and a[2] == b[2]}
+        got = {(r["s1_id"], r["cand_id"]): r["cos"] for r in top_k(vectors, 9, 0.0).collect()}
+        assert got == {k: pytest.approx(v) for k, v in cos.items() if v > 0}
+        pairs = records.sparkSession.createDataFrame([*cos, ("S1-1", "none")], "s1_id string, cand_id string")
+        assert {(r["s1_id"], r["cand_id"]): r["c"] for r in paired_cosine(pairs, vectors, "c").collect()} == {k: pytest.approx(v) for k, v in {**cos, ("S1-1", "none"): 0.0}.items()}
+    assert top_k(text_vectors(records.limit(0), "core_name", 3, 4), 3, 0.1).count() == 0
+
+
+def test_blocks_do_not_change_results(records, monkeypatch):
+    from weftlink.operators import blocks
+
+    vectors = text_vectors(records, "core_name", 3, 4, min_df=1).cache()
+    whole = sorted(top_k(vectors, 1, 0.05).collect())
+    monkeypatch.setattr(blocks, "TARGETS", 1)
+    monkeypatch.setattr(blocks, "QUERIES", 0)
+    assert sorted(top_k(vectors, 1, 0.05).collect()) == whole
+
+
+def test_approximate_neighbours_find_nine_in_ten(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(12, 16))
+    v = centers[rng.integers(0, 12, 900)] + 0.4 * rng.normal(size=(900, 16))
+    rows = [(f"{i:04d}", i % 3 + 1, "x", [float(x) for x in v[i]]) for i in range(900)] + [("null", 2, "x", None), ("zero", 2, "x", [0.0] * 16)]
+    df = spark.createDataFrame(rows, "id string, source int, country_key string, v array<double>")
+    exact = {(r["s1_id"], r["cand_id"]) for r in B.vector_top_k(df, 5, 0.1).collect()}
+    near = {(r["s1_id"], r["cand_id"]) for r in B.approximate_top_k(df, 5, 0.1, lists=16).collect()}
+    assert len(exact & near) >= 0.9 * len(exact) and near
+    assert B.approximate_top_k(df.limit(0), 5, 0.1).count() == 0
+
+
 def test_postal_cap(spark):
     rows = [("S1-1", 1, "us", "10001"), *[(f"S2-{i}", 2, "us", "10001") for i in range(41)], ("S3-1", 3, "us", "10001"), ("S3-2", 3, "fr", "10001"), ("S2-x", 2, "us", "")]
     df = spark.createDataFrame(rows, "entity_id string, source int, country_key string, postal string")
@@ -125,10 +166,10 @@ def test_blocking_recall_without_truth(spark):
 
 
 def test_tsv_round_trip(spark, tmp_path):
-    lists = spark.createDataFrame([("S1-1", ["S2-1", "S3-1", "S2-1"]), ("S1-2", [])], "id string, ids array<string>")
-    S.write_id_lists(lists, str(tmp_path / "out"), "source1_entity_id", "matched_entity_ids")
-    lines = sorted(x for p in (tmp_path / "out").glob("part-*") for x in p.read_text().splitlines() if not x.startswith("source1"))
-    assert lines == ["S1-1\tS2-1,S3-1", "S1-2\t"]
+    lists = spark.createDataFrame([("S1-1", ["S2-1", "S3-1", "S2-1"], 2), ("S1-2", [], 1)], "id string, ids array<string>, at int").repartition(2)
+    for _ in range(2):
+        S.write_id_lists(lists, str(tmp_path / "out"), "source1_entity_id", "matched_entity_ids")
+        assert (tmp_path / "out").read_text().splitlines() == ["source1_entity_id\tmatched_entity_ids", "S1-2\t", "S1-1\tS2-1,S3-1"]
     (tmp_path / "train").mkdir()
     for n in ("source1", "source2", "source3"):
         (tmp_path / "train" / f"{n}.tsv").write_text('entity_id\tbusiness_name\tbusiness_address\tcountry\textra\n S1-1 \t"quoted\tNA\t\tz\n\tno id\t\t\t\n')
@@ -157,10 +198,45 @@ def test_validation(spark):
     assert validate.exit_code(validate.validate_subset(pair, pair.limit(0), "strict")) == 1
 
 
+def test_file_order_and_lines(spark, tmp_path):
+    """Lines, ids and repeated labels follow the file, whatever parts it is read in."""
+    n = 3000
+    path = tmp_path / "ground_truth.tsv"
+    path.write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i % 1000}\tS2-{i}\n" for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        lines = {r["line_no"]: r["value"] for r in S.read_lines(spark, str(path)).collect()}
+        assert len(lines) == n + 1 and lines[1].startswith("source1") and all(lines[i + 2] == f"S1-{i % 1000}\tS2-{i}" for i in range(n))
+        assert {r[0]: r[1] for r in S.read_ground_truth(spark, str(path)).collect()} == {f"S1-{i}": [f"S2-{i + 2000}"] for i in range(1000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_validated_files(spark, tmp_path):
+    (tmp_path / "test").mkdir()
+    for k, ids in ((1, ["S1-1", "S1-2"]), (2, ["S2-1"]), (3, ["S3-1"])):
+        (tmp_path / "test" / f"source{k}.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join(f"{i}\tn\ta\tc\n" for i in ids))
+    good, bad = tmp_path / "c.tsv", tmp_path / "m.tsv"
+    good.write_text("source1_entity_id\tcandidate_entity_ids\nS1-1\tS2-1\nS1-2\t\n")
+    bad.write_text("S1\tmatched\nS1-1\tS3-1,S2-9\nS1-2\t\textra\n")
+    got = {(r["file"], r["rule"], r["level"]) for r in validate.validate_files(spark, str(good), str(bad), str(tmp_path), check_ids=True).collect()}
+    assert got == {("matching_results", x, "error") for x in ("header", "columns", "missing id", "unknown target")} | {("matching_results", "match is no candidate", "warning")}
+    assert validate.exit_code(validate.validate_files(spark, str(good), str(good), str(tmp_path)).filter("rule <> 'header'")) == 0
+    (tmp_path / "test" / "source3.tsv").unlink()
+    skipped = validate.validate_files(spark, str(good), str(bad), str(tmp_path)).filter("level = 'warning'").collect()
+    assert {r["rule"] for r in skipped} == {"target look-up skipped", "match is no candidate"}
+    empty = spark.createDataFrame([], "line_no long, value string")
+    ids = spark.createDataFrame([("S1-1",)], "id string")
+    assert {r["rule"] for r in validate.validate_lines(empty, "f", "x", ids, None).collect()} == {"header", "missing id"}
+
+
 def test_knobs():
     mode, cfg = config_of(["predict", "--knn", "7", "--no-postal", "--cross-encoder-band", "0.1"])
     assert (mode, cfg.knn_name, cfg.use_postal_blocker, cfg.cross_encoder_band) == ("predict", 7, False, 0.1)
     assert cfg.key() != config_of([])[1].key()
+    assert config_of(["--mode", "train", "--embed-model", "m", "--embed-device", "cuda", "--batch-size", "9"])[1].batch_size == 9
+    assert config_of(["--mode", "train"])[0] == "train" and config_of([])[0] == "run"
     assert clipped_median([0.1, 0.1], (0.2, 0.95)) == 0.2 and clipped_median([0.3, 0.5, 0.9], (0.2, 0.95)) == 0.5
 
 
@@ -170,6 +246,7 @@ def test_synthetic_truth_holds(spark):
     targets = made["source2"].unionByName(made["source3"])
     assert made["source1"].count() == 40 and made["ground_truth"].count() == 40
     assert truth.count() > 20
+    assert synth.entities(spark, {"US": 9000}).select(F.split("name", " ")[0]).distinct().count() == 9000
     assert truth.join(targets, truth["cand_id"] == targets["entity_id"], "left_anti").count() == 0
     assert targets.select("entity_id").distinct().count() == targets.count()
 

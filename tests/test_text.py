@@ -48,6 +48,9 @@ def test_contact_keys(spark):
     keys = X.contact_keys(F.lit("call +91 9876543210 or mail a.b@x.com, www.shop.co 1234567"))
     row = spark.range(1).select(*[v.alias(k) for k, v in keys.items()]).first()
     assert row["emails"] == ["a.b@x.com"] and "shop.co" in row["domains"] and "1234567" in row["long_numbers"]
+    keys = X.contact_keys(F.lit("9876543210123 acme.company x@y.z9"))
+    row = spark.range(1).select(*[v.alias(k) for k, v in keys.items()]).first()
+    assert row["phones"] == ["7654321012"] and row["domains"] == ["acme.com"] and row["emails"] == ["x@y.z9"] and row["long_numbers"] == ["9876543210123"]
 
 
 def test_char_grams(spark):

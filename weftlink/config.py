@@ -7,6 +7,7 @@ import json
 from dataclasses import asdict, dataclass
 
 
+# The defaults of the knobs.
 @dataclass(frozen=True)
 class Config:
     data_dir: str = "data"
@@ -34,9 +35,13 @@ class Config:
     block_within_country: bool = True
     use_embeddings: bool = False
     embed_backend: str = "hashing"
+    embed_model: str = ""
+    embed_device: str = "cpu"
+    batch_size: int = 256
     embed_dim: int = 256
     embed_grams: tuple[int, int] = (3, 4)
     knn_embed: int = 15
+    exact_embed_targets: int = 200_000
     min_embed_cosine: float = 0.55
     max_train_entities: int = 150_000
     inject_missed: bool = True
@@ -68,6 +73,6 @@ class Config:
     hard_fraction: float = 0.7
     max_training_pairs: int = 1_500_000
 
-    def key(self) -> str:
-        """Names a cache: other knobs or another data folder give another key."""
-        return hashlib.sha256(json.dumps(asdict(self), sort_keys=True).encode()).hexdigest()[:16]
+    def key(self, *more: object) -> str:
+        """Names a cache: other knobs, or other inputs (``more`` tells them apart), give another key."""
+        return hashlib.sha256(json.dumps([asdict(self), *more], sort_keys=True).encode()).hexdigest()[:16]

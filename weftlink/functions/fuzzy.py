@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def _common(a: str, b: str) -> int:
@@ -68,15 +68,22 @@ def partial(a: str, b: str) -> float:
     return _windows(*sorted((a, b), key=len))
 
 
-def _over(function):
-    @F.pandas_udf(DoubleType())
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([function(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+_SCORES = StructType([StructField(n, DoubleType()) for n in ("token_set", "token_sort", "partial", "addr_token_set")])
 
-    return run
 
+@F.pandas_udf(_SCORES)
+def scores_of(a: pd.Series, b: pd.Series, addr_a: pd.Series, addr_b: pd.Series) -> pd.DataFrame:
+    """All similarities of two names and two addresses in one pass; a pair of texts is compared once a batch."""
+    names, addresses = {}, {}
 
-ratio_of = _over(ratio)
-token_sort_of = _over(token_sort)
-token_set_of = _over(token_set)
-partial_of = _over(partial)
+    def of(kept: dict, function, x: str, y: str):
+        if (x, y) not in kept:
+            kept[x, y] = function(x, y)
+        return kept[x, y]
+
+    every = lambda x, y: (1.0 if x else 0.0, 1.0, 1.0) if x == y else (token_set(x, y), token_sort(x, y), partial(x, y))
+    rows = [
+        (*of(names, every, w or "", x or ""), of(addresses, token_set, y or "", z or ""))
+        for w, x, y, z in zip(a, b, addr_a, addr_b)
+    ]
+    return pd.DataFrame(rows, columns=_SCORES.names, dtype="float64")

@@ -70,10 +70,15 @@ def expand(col: Column, table: dict[str, str]) -> Column:
     return F.array_join(F.transform(F.split(col, " "), lambda t: F.coalesce(spelled[t], t)), " ")
 
 
+#: The patterns of what a web site's name has around it, and of a postal code.
+SITE_PARTS = ("https?://", r"www\.", "@", r"\.(com|in|co|org|net|io|biz|info|us|fr)\b")
+POSTAL = "([0-9]{5,6})[^0-9]*$"
+
+
 def without_sites(col: Column) -> Column:
     """Lower-case name with schemes, www., @ and common top-level domains turned into blanks."""
     out = F.lower(F.coalesce(col, F.lit("")))
-    for pattern in ("https?://", r"www\.", "@", r"\.(com|in|co|org|net|io|biz|info|us|fr)\b"):
+    for pattern in SITE_PARTS:
         out = F.regexp_replace(out, pattern, " ")
     return out
 
@@ -95,7 +100,7 @@ def norm_address(col: Column) -> Column:
 
 def postal_code(col: Column) -> Column:
     """The last run of 5 digits or more that only other characters follow, its last six digits at most."""
-    return F.regexp_extract(F.lower(ascii_fold(col)), "([0-9]{5,6})[^0-9]*$", 1)
+    return F.regexp_extract(F.lower(ascii_fold(col)), POSTAL, 1)
 
 
 def numbers(norm: Column) -> Column:
@@ -122,19 +127,31 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
 
 
+def bigram_similarity(a: Column, b: Column) -> Column:
+    """Letter pairs in common of two texts, whatever their case."""
+    return jaccard(bigrams(F.lower(a)), bigrams(F.lower(b)))
+
+
 def tokens(col: Column) -> Column:
     """Distinct tokens of a normal form; none for ''."""
     return F.array_distinct(F.filter(F.split(col, " "), lambda t: t != ""))
 
 
+#: The patterns of contact keys; phones are looked for where everything but digits is blank.
+PHONE = r"\d{10,12}"
+EMAIL = r"[a-z0-9._%+-]+@[a-z0-9-]+\.[a-z0-9.-]+"
+DOMAIN = r"[a-z0-9][a-z0-9-]*\.(?:com|in|co|org|net|io|biz|info|us|fr)"
+LONG_NUMBER = r"\p{Nd}{7,}"
+
+
 def contact_keys(blob: Column) -> dict[str, Column]:
-    """Sets of phones, e-mails, domains and long numbers in a lower-case text."""
-    digits = F.regexp_replace(blob, "[^0-9]+", " ")
+    """Sets of phones (their last ten digits), e-mails, domains and long numbers in a lower-case text."""
+    every = lambda text, pattern: F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
     return {
-        "phones": F.array_distinct(F.transform(F.regexp_extract_all(digits, F.lit(r"\b([0-9]{10,12})\b"), 1), lambda x: F.right(x, F.lit(10)))),
-        "emails": F.array_distinct(F.regexp_extract_all(blob, F.lit(r"([a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,})"), 1)),
-        "domains": F.array_distinct(F.regexp_extract_all(blob, F.lit(r"([a-z0-9-]+\.(?:com|in|co|org|net|io|biz|info|us|fr))\b"), 1)),
-        "long_numbers": F.array_distinct(F.regexp_extract_all(blob, F.lit("([0-9]{7,})"), 1)),
+        "phones": F.array_distinct(F.transform(every(F.regexp_replace(blob, "[^0-9]", " "), PHONE), lambda x: F.right(x, F.lit(10)))),
+        "emails": F.array_distinct(every(blob, EMAIL)),
+        "domains": F.array_distinct(every(blob, DOMAIN)),
+        "long_numbers": F.array_distinct(every(blob, LONG_NUMBER)),
     }
 
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftlink.config import Config
-from weftlink.functions.vectors import cosine, hashing_embedding
-from weftlink.operators.tfidf import paired_cosine, text_weights, top_k
+from weftlink.operators.blocks import best_in_blocks, ranked
+from weftlink.operators.encoders import Encoder, load_encoder
+from weftlink.operators.tfidf import paired_cosine, text_vectors, text_weights, top_k
+from weftlink.session import Keep, cut, written
 from weftlink.sources.records import source_number
 
 PAIR = ["s1_id", "cand_id", "cand_source"]
@@ -23,49 +29,162 @@ def postal_pairs(records: DataFrame, cap: int = 40, within_country: bool = True)
     return ours.join(kept, ["country_key", "postal"]).select("s1_id", F.col("entity_id").alias("cand_id"), F.col("source").alias("cand_source"))
 
 
+def _matrix(t: pa.Table) -> np.ndarray:
+    """Unit vectors, one a row; rows without length stay 0."""
+    whole = t["v"].combine_chunks()
+    m = whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(t.num_rows, -1)
+    size = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
+
+
+def _near(k: int, floor: float):
+    def run(q: pa.Table, t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        mine, other, source = _matrix(q), _matrix(t).T, t["source"].to_numpy()
+        step = max(1, 2_000_000 // other.shape[1])
+        out = []
+        for low in range(0, len(mine), step):
+            cos = mine[low : low + step] @ other
+            row, target = np.nonzero(cos >= floor - 1e-6)
+            cos = np.round(cos[row, target], 6)
+            kept = cos >= floor
+            row, target, cos = row[kept], target[kept], cos[kept]
+            best = ranked(row * 4 + source[target], cos, k)
+            out.append((row[best] + low, target[best], cos[best]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    return run
+
+
 def vector_top_k(vectors: DataFrame, k: int, floor: float) -> DataFrame:
     """``vectors(id, source, country_key, v)``: exact k nearest targets of each S1 vector in its country, by cosine.
 
-    The country is the join key, so work is split by it; hot countries are split further by
-    salting the targets, as every S1 vector meets each salt's best k before the last ranking.
+    Blocks of vectors are multiplied as matrices.  All vectors have one dimension; NULL ones take no part.
+    """
+    rows = vectors.filter("v IS NOT NULL").withColumnRenamed("id", "entity_id")
+    return best_in_blocks(rows, ["v"], _near(k, floor), k).select(*PAIR, "cos")
+
+
+def _centroids(sample: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray:
+    """Unit centroids by spherical k-means."""
+    rng = np.random.default_rng(11)
+    at = sample[rng.choice(len(sample), min(lists, len(sample)), replace=False)]
+    for _ in range(rounds):
+        near = (sample @ at.T).argmax(axis=1)
+        sums = np.zeros_like(at)
+        np.add.at(sums, near, sample)
+        size = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+        at = np.where(size > 0, sums / np.where(size > 0, size, 1), at)
+    return at
+
+
+def _probes(sample: np.ndarray, source: np.ndarray, centers: np.ndarray, k: int, wanted: float) -> int:
+    """The fewest lists in which a share ``wanted`` of the nearest of each source is found, for at most 500 of the sample."""
+    asked = sample[:500]
+    rank = np.argsort(np.argsort(-(asked @ centers.T), axis=1), axis=1)
+    at = [np.zeros(0, int)]
+    for s in np.unique(source[source > 1]):
+        there = sample[source == s]
+        cos = asked @ there.T
+        # a vector is not its own neighbour
+        places = np.flatnonzero(source == s)
+        mine = places < len(asked)
+        cos[places[mine], np.flatnonzero(mine)] = -2.0
+        near = np.argsort(-cos, axis=1)[:, : min(k, len(there))]
+        at.append(np.take_along_axis(rank, (there @ centers.T).argmax(axis=1)[near], axis=1).ravel())
+    every = np.concatenate(at)
+    return int(np.quantile(every, wanted, method="higher")) + 1 if every.size else len(centers)
+
+
+def approximate_top_k(vectors: DataFrame, k: int, floor: float, lists: int = 64, recall: float = 0.95, fit_on: int = 20_000) -> DataFrame:
+    """As ``vector_top_k``, but every S1 vector meets only the targets of the lists nearest to it.
+
+    Every target is in the list of its nearest centroid.  Centroids are fitted on at most ``fit_on`` vectors,
+    chosen by a hash of the id, and so is the number of lists to search, for the wanted ``recall``; all
+    vectors are indexed.  For sides of which the exact join is too much; ``lists`` is meant to
+    grow with the square root of a country's targets.
     """
-    salts = 8
-    q = vectors.filter("source = 1").select(F.col("id").alias("s1_id"), "country_key", F.col("v").alias("vq"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    t = vectors.filter("source > 1").select(
-        F.col("id").alias("cand_id"), F.col("source").alias("cand_source"), "country_key", F.col("v").alias("vt"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt")
-    )
-    near = q.join(t, ["country_key", "salt"]).select("s1_id", "cand_id", "cand_source", "salt", F.round(cosine(F.col("vq"), F.col("vt")), 6).alias("cos")).filter(F.col("cos") >= floor)
-    order = [F.col("cos").desc(), F.col("cand_id")]
-    first = near.withColumn("r", F.row_number().over(Window.partitionBy("s1_id", "cand_source", "salt").orderBy(*order))).filter(F.col("r") <= k)
-    return first.withColumn("r", F.row_number().over(Window.partitionBy("s1_id", "cand_source").orderBy(*order))).filter(F.col("r") <= k).select(*PAIR, "cos")
+    rows = vectors.filter("v IS NOT NULL")
+    n = max(1, rows.count())
+    # a hash cut keeps the sample near its size without a sort of all rows
+    share = min(1.0, fit_on / n)
+    chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("source", "v").limit(2 * fit_on).toArrow()
+    if not chosen.num_rows:
+        return vector_top_k(vectors, k, floor)
+    sample = _matrix(chosen)
+    fitted = _centroids(sample, lists)
+    probes = _probes(sample, chosen["source"].to_numpy(), fitted, k, recall)
+    shared = vectors.sparkSession.sparkContext.broadcast(fitted)
+    schema = "id string, source int, country_key string, v array<double>"
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centers = shared.value
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            if not t.num_rows:
+                continue
+            cos = _matrix(t) @ centers.T
+            own = t["source"].to_numpy() == 1
+            wanted = np.where(own, min(probes, len(centers)), 1)
+            order = np.argsort(-cos, axis=1, kind="stable")
+            at = np.repeat(np.arange(len(own)), wanted)
+            nth = np.arange(len(at)) - np.repeat(np.cumsum(wanted) - wanted, wanted)
+            out = t.take(pa.array(at))
+            keys = pa.array([f"{c}\u0001{n}" for c, n in zip(out["country_key"].to_pylist(), order[at, nth])])
+            yield from out.set_column(out.schema.get_field_index("country_key"), "country_key", keys).to_batches()
+
+    placed = rows.select(F.col("id").cast("string").alias("id"), F.col("source").cast("int").alias("source"), F.coalesce("country_key", F.lit("")).alias("country_key"), F.col("v").cast("array<double>").alias("v"))
+    return vector_top_k(cut(placed.mapInArrow(listed, schema)), k, floor)
+
+
+def _caps(cfg: Config) -> dict[str, int]:
+    return {"min_df": cfg.min_df, "max_df": cfg.max_df, "max_features": cfg.max_features}
 
 
 def name_weights(records: DataFrame, cfg: Config) -> DataFrame:
-    return text_weights(records, "core_name", *cfg.name_grams, min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
+    return text_weights(records, "core_name", *cfg.name_grams, **_caps(cfg))
 
 
-def address_weights(records: DataFrame, cfg: Config) -> DataFrame:
-    return text_weights(records, "norm_addr", *cfg.addr_grams, min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
+def squish_weights(records: DataFrame, cfg: Config) -> DataFrame:
+    return text_weights(records, "name_squish", *cfg.squish_grams, within_words=False, **_caps(cfg))
 
 
-def squish_weights(records: DataFrame, cfg: Config) -> DataFrame:
-    return text_weights(records, "name_squish", *cfg.squish_grams, within_words=False, min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
+def name_vectors(records: DataFrame, cfg: Config) -> DataFrame:
+    return text_vectors(records, "core_name", *cfg.name_grams, **_caps(cfg))
 
 
-def embedding_weights(records: DataFrame, cfg: Config) -> DataFrame:
-    """(entity_id, gram, w): the hashing vector of every record, a dimension as a gram, as ``paired_cosine`` takes it."""
-    if cfg.embed_backend != "hashing":
-        raise ValueError(f"no embedding backend {cfg.embed_backend!r}: only 'hashing' can be had offline")
-    vectors = hashing_embedding(records, "entity_id", "core_name", cfg.embed_dim, cfg.embed_grams)
-    return vectors.select(F.col("id").alias("entity_id"), F.col("dim_no").alias("gram"), F.col("value").alias("w"))
+def address_vectors(records: DataFrame, cfg: Config) -> DataFrame:
+    return text_vectors(records, "norm_addr", *cfg.addr_grams, **_caps(cfg))
 
 
-def embedding_vectors(records: DataFrame, weights: DataFrame, cfg: Config) -> DataFrame:
-    """(id, source, country_key, v): the same vectors as arrays, as ``vector_top_k`` takes them."""
-    entries = weights.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("m"))
-    v = F.transform(F.sequence(F.lit(0), F.lit(cfg.embed_dim - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
+def squish_vectors(records: DataFrame, cfg: Config) -> DataFrame:
+    return text_vectors(records, "name_squish", *cfg.squish_grams, within_words=False, **_caps(cfg))
+
+
+def embedding_vectors(records: DataFrame, cfg: Config, encoder: Encoder | None = None) -> DataFrame:
+    """(entity_id, source, country_key, grams, w): the encoder's vector of every core name, a dimension as a gram."""
+    encoder = encoder or load_encoder(cfg)
+    return encoder(records.select("entity_id", "source", "country_key", F.col("core_name").alias("text")))
+
+
+def record_vectors(records: DataFrame, cfg: Config, keep: Keep = written) -> dict[str, DataFrame]:
+    """The vectors of each cosine, by the name of its feature; each is written once."""
+    makers = {"name_cos": name_vectors, "addr_cos": address_vectors, "squish_cos": squish_vectors}
+    if cfg.use_embeddings:
+        makers["embed_cos"] = embedding_vectors
+    return {name: keep(name, lambda make=make: make(records, cfg)) for name, make in makers.items()}
+
+
+def embedding_top_k(vectors: DataFrame, cfg: Config) -> DataFrame:
+    """Nearest targets by embedding: exact, or by lists of centroids where a country has more than ``exact_embed_targets`` targets."""
+    dims = F.sequence(F.lit(0), F.lit(cfg.embed_dim - 1))
+    at = F.map_from_arrays("grams", "w")
+    dense = F.transform(dims, lambda i: F.coalesce(F.element_at(at, i.cast("bigint")), F.lit(0.0)))
     country = F.col("country_key") if cfg.block_within_country else F.lit("")
-    return records.join(entries, "entity_id").select(F.col("entity_id").alias("id"), "source", country.alias("country_key"), v.alias("v"))
+    rows = vectors.select(F.col("entity_id").alias("id"), "source", country.alias("country_key"), dense.alias("v"))
+    most = vectors.filter("source > 1").groupBy(country.alias("c")).count().agg(F.max("count")).first()[0] or 0
+    if most <= cfg.exact_embed_targets:
+        return vector_top_k(rows, cfg.knn_embed, cfg.min_embed_cosine)
+    return approximate_top_k(rows, cfg.knn_embed, cfg.min_embed_cosine, int(most**0.5))
 
 
 def union_pairs(*blocks: DataFrame) -> DataFrame:
@@ -76,22 +195,23 @@ def union_pairs(*blocks: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def candidates(records: DataFrame, cfg: Config, vectors: DataFrame | None = None) -> DataFrame:
-    """(s1_id, cand_id, cand_source, name_cos): the union of the enabled blockers."""
+def candidates(records: DataFrame, cfg: Config, vectors: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(s1_id, cand_id, cand_source, name_cos): the union of the enabled blockers.
+
+    ``vectors`` are those of ``record_vectors``, made here where they are not given.
+    """
     within = cfg.block_within_country
-    wn = name_weights(records, cfg)
-    blocks = [top_k(wn, cfg.knn_name, cfg.min_name_cosine, within)]
+    vectors = vectors or record_vectors(records, cfg)
+    blocks = [top_k(vectors["name_cos"], cfg.knn_name, cfg.min_name_cosine, within)]
     if cfg.use_addr_blocker:
-        blocks.append(top_k(address_weights(records, cfg), cfg.knn_addr, cfg.min_addr_cosine, within))
+        blocks.append(top_k(vectors["addr_cos"], cfg.knn_addr, cfg.min_addr_cosine, within))
     if cfg.use_squish_blocker:
-        blocks.append(top_k(squish_weights(records, cfg), cfg.knn_squish, cfg.min_squish_cosine, within))
+        blocks.append(top_k(vectors["squish_cos"], cfg.knn_squish, cfg.min_squish_cosine, within))
     if cfg.use_embeddings:
-        if vectors is None:
-            raise ValueError("use_embeddings is set, but no vectors are given")
-        blocks.append(vector_top_k(vectors, cfg.knn_embed, cfg.min_embed_cosine))
+        blocks.append(embedding_top_k(vectors["embed_cos"], cfg))
     if cfg.use_postal_blocker:
         blocks.append(postal_pairs(records, cfg.postal_cap, within))
-    return paired_cosine(union_pairs(*blocks), wn, "name_cos")
+    return paired_cosine(union_pairs(*blocks), vectors["name_cos"], "name_cos")
 
 
 def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +89,3 @@ def residual_hardness(pairs: DataFrame, truth: DataFrame, normal: DataFrame) ->
         F.round(F.coalesce(F.avg((F.col("j") >= 0.6).cast("double")), F.lit(0.0)), 6).alias("share_easy"),
         F.round(F.coalesce(F.avg((F.col("j") < 0.3).cast("double")), F.lit(0.0)), 6).alias("share_hard"),
     )
-
-
-def union_of(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda x, y: x.unionByName(y), frames)

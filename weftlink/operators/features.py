@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftlink.functions import fuzzy
 from weftlink.functions.text import tokens
 
+# The features in the order that a fitted model expects.
 FEATURES = (
     "name_cos addr_cos rf_name_token_set rf_name_token_sort rf_name_partial rf_addr_token_set first_token_match acronym_match "
     "name_len_ratio postal_both_present postal_equal num_overlap num_any_match country_match cand_is_s3 squish_cos num_exact "
@@ -51,7 +52,7 @@ def native_features(attached: DataFrame) -> DataFrame:
             "num_any_match": _flag(F.size(F.array_intersect(na, nb)) > 0),
             "country_match": _flag(c("a_country_key") == c("b_country_key")),
             "cand_is_s3": _flag(c("cand_source") == 3),
-            "num_exact": _flag(both_numbers & (F.array_sort(na) == F.array_sort(nb))),
+            "num_exact": _flag(both_numbers & (F.sort_array(na) == F.sort_array(nb))),
             "addr_containment": F.when(both_addr, F.size(F.array_intersect(ta, tb)) / F.least(F.size(ta), F.size(tb))).otherwise(0.0),
             "region_match": _flag(both_addr & (F.element_at(F.split("a_norm_addr", " "), -1) == F.element_at(F.split("b_norm_addr", " "), -1))),
             "postal_prefix_match": _flag(both_postal & (F.left("a_postal", F.lit(2)) == F.left("b_postal", F.lit(2)))),
@@ -61,14 +62,9 @@ def native_features(attached: DataFrame) -> DataFrame:
 
 
 def fuzzy_features(attached: DataFrame) -> DataFrame:
-    return attached.withColumns(
-        {
-            "rf_name_token_set": fuzzy.token_set_of("a_core_name", "b_core_name"),
-            "rf_name_token_sort": fuzzy.token_sort_of("a_core_name", "b_core_name"),
-            "rf_name_partial": fuzzy.partial_of("a_core_name", "b_core_name"),
-            "rf_addr_token_set": fuzzy.token_set_of("a_norm_addr", "b_norm_addr"),
-        }
-    )
+    scored = attached.withColumn("__fuzzy", fuzzy.scores_of("a_core_name", "b_core_name", "a_norm_addr", "b_norm_addr"))
+    names = {"rf_name_token_set": "token_set", "rf_name_token_sort": "token_sort", "rf_name_partial": "partial", "rf_addr_token_set": "addr_token_set"}
+    return scored.withColumns({f: F.col(f"__fuzzy.{n}") for f, n in names.items()}).drop("__fuzzy")
 
 
 def all_features(pairs: DataFrame, records: DataFrame) -> DataFrame:

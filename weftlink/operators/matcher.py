@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from weftlink.config import Config
 from weftlink.operators.decision import one_owner
 from weftlink.operators.features import FEATURES
-from weftlink.operators.metrics import best_threshold, threshold_curve
+from weftlink.operators.metrics import best_threshold, first_rows, threshold_curve
 
 
 def train(rows: DataFrame, cfg: Config, trees: int | None = None) -> PipelineModel:
@@ -56,7 +56,8 @@ def cold_threshold(rows: DataFrame, injected: DataFrame, truth: DataFrame, ids:
     among the blocked pairs; with fewer than two such countries the warm threshold holds.
     """
     counts = rows.filter("label = 1").groupBy("country_key").count().filter(F.col("count") >= cfg.loco_min_positives)
-    usable = [r["country_key"] for r in counts.orderBy(F.col("count").desc(), "country_key").limit(200).collect()]
+    # a fit a country: there are as many as have enough labelled positives
+    usable = [r["country_key"] for r in counts.orderBy(F.col("count").desc(), "country_key").collect()]
     if len(usable) < 2:
         return warm, []
     found = []
@@ -87,7 +88,8 @@ def sampled_ids(ids: DataFrame, most: int, seed: int = 42) -> DataFrame:
     distinct = ids.select("s1_id").distinct()
     if most <= 0:
         return distinct
-    return distinct.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), "s1_id")), "s1_id").limit(most)
+    hashed = distinct.withColumn("h", F.md5(F.concat(F.lit(f"{seed}|"), "s1_id")))
+    return first_rows(hashed, F.left("h", F.lit(4)), ["h", "s1_id"], most).filter("first").select("s1_id")
 
 
 def mined_pairs(labelled: DataFrame, missed: DataFrame, cfg: Config) -> DataFrame:
@@ -101,15 +103,29 @@ def mined_pairs(labelled: DataFrame, missed: DataFrame, cfg: Config) -> DataFram
     n_pos, n_neg = positives.count(), negatives.count()
     want = min(n_neg, int(cfg.negatives_per_positive * n_pos + 0.5))
     n_hard = int(cfg.hard_fraction * want + 0.5)
-    # limits are the sample's size, a feature of the operator
-    hard = negatives.orderBy(F.col("name_cos").desc(), "s1_id", "cand_id").limit(n_hard)
-    rest = negatives.join(hard.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_anti")
-    easy = rest.orderBy(F.md5(F.concat_ws("|", F.lit(str(cfg.seed)), "s1_id", "cand_id")), "s1_id", "cand_id").limit(want - n_hard)
+    by_cos = first_rows(negatives, F.floor(-F.col("name_cos") * 10_000), [F.col("name_cos").desc(), "s1_id", "cand_id"], n_hard)
+    hard = by_cos.filter("first").drop("first")
+    rest = by_cos.filter("NOT first").select("s1_id", "cand_id", F.md5(F.concat_ws("|", F.lit(str(cfg.seed)), "s1_id", "cand_id")).alias("h"))
+    easy = first_rows(rest, F.left("h", F.lit(4)), ["h", "s1_id", "cand_id"], want - n_hard).filter("first")
     out = (
         positives.select("s1_id", "cand_id", F.lit(1).alias("label"), F.lit("positive").alias("kind"))
         .unionByName(hard.select("s1_id", "cand_id", F.lit(0).alias("label"), F.lit("hard").alias("kind")))
         .unionByName(easy.select("s1_id", "cand_id", F.lit(0).alias("label"), F.lit("random").alias("kind")))
     )
     if n_pos + want > cfg.max_training_pairs:
-        out = out.orderBy(F.md5(F.concat_ws("|", "s1_id", "cand_id")), "s1_id", "cand_id").limit(cfg.max_training_pairs)
+        hashed = out.withColumn("h", F.md5(F.concat_ws("|", "s1_id", "cand_id")))
+        out = first_rows(hashed, F.left("h", F.lit(4)), ["h", "s1_id", "cand_id"], cfg.max_training_pairs).filter("first").drop("h", "first")
     return out
+
+
+def reranker_split(pairs: DataFrame, most: int = 40_000, seed: int = 42) -> DataFrame:
+    """Training pairs with ``part``: a fifth of them, at most ``most``, is 'val' by a seeded hash, the rest 'train'."""
+    hashed = pairs.withColumn("h", F.md5(F.concat_ws("|", F.lit(f"{seed}"), "s1_id", "cand_id")))
+    n = hashed.count()
+    split = first_rows(hashed, F.left("h", F.lit(4)), ["h", "s1_id", "cand_id"], min(most, n // 5))
+    return split.withColumn("part", F.when(F.col("first"), "val").otherwise("train")).drop("h", "first")
+
+
+def split_report(split: DataFrame) -> DataFrame:
+    """(part, kind, label, n): what a training run of a reranker would read."""
+    return split.groupBy("part", "kind", "label").agg(F.count(F.lit(1)).alias("n"))

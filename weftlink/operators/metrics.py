@@ -70,13 +70,16 @@ def entity_split(ids: DataFrame, fraction: float = 0.2, seed: int = 42) -> DataF
     hashed = ids.select("s1_id").distinct().withColumn("h", F.md5(F.concat(F.lit(f"{seed}|"), "s1_id")))
     n = hashed.count()
     want = int(n * fraction + 0.5)
-    return _first(hashed, want).withColumn("part", F.when(F.col("first"), "val").otherwise("train")).drop("first", "h")
+    return first_rows(hashed, F.left("h", F.lit(4)), ["h", "s1_id"], want).withColumn("part", F.when(F.col("first"), "val").otherwise("train")).drop("first", "h")
 
 
-def _first(hashed: DataFrame, want: int) -> DataFrame:
-    """Adds ``first``: whether a row is among the ``want`` smallest by (h, s1_id); whole buckets of hash prefixes first."""
-    bucket = F.left("h", F.lit(4))
-    counts = sorted((r["b"], r["n"]) for r in hashed.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())  # at most 65,536 rows
+def first_rows(rows: DataFrame, bucket: Column, order: list, want: int) -> DataFrame:
+    """Adds ``first``: whether a row is among the first ``want`` by ``order``.
+
+    ``bucket`` is a coarse form of the order, of at most some ten thousand values: whole buckets are in or
+    out, and only the one at the edge is ranked.
+    """
+    counts = sorted((r["b"], r["n"]) for r in rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())  # one row a bucket
     upto, edge = 0, None
     for b, n in counts:
         if upto + n > want:
@@ -84,6 +87,8 @@ def _first(hashed: DataFrame, want: int) -> DataFrame:
             break
         upto += n
     if edge is None:
-        return hashed.withColumn("first", F.lit(True))
-    rank = F.row_number().over(Window.partitionBy("b").orderBy("h", "s1_id"))
-    return hashed.withColumn("b", bucket).withColumn("r", rank).withColumn("first", (F.col("b") < edge) | ((F.col("b") == edge) & (F.col("r") <= want - upto))).drop("b", "r")
+        return rows.withColumn("first", F.lit(True))
+    placed = rows.withColumn("b", bucket)
+    rank = F.row_number().over(Window.partitionBy("b").orderBy(*order))
+    at_edge = placed.filter(F.col("b") == edge).withColumn("first", rank <= want - upto)
+    return placed.filter(F.col("b") != edge).withColumn("first", F.col("b") < edge).unionByName(at_edge).drop("b")

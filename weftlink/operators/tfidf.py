@@ -1,13 +1,30 @@
-"""Character n-gram TF-IDF as long tables, and top-k similarity joins over an inverted index.
+"""Character n-gram TF-IDF, and top-k similarity joins over inverted indexes.
 
-Records are joined through the grams they share, within (country, gram), so nothing is compared
-that has nothing in common.  A cap on document frequency bounds what one gram can produce.
+A record's weights are two sorted arrays, gram codes and weights.  ``top_k`` sends blocks of queries
+and blocks of targets of one country to one task, which indexes its targets by gram and adds up
+the products of whole batches of queries in flat arrays; pairs that share no gram cost nothing,
+and no pair of records is shuffled before its similarity is known and it is one of the best of its block.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from weftlink.operators.blocks import best_in_blocks, ranked
+
+#: Gram codes have so many bits, which leaves room for the number of a pair in a batch.
+CODE_BITS = 48
+#: Products that are added up at once.
+_AT_ONCE = 2_000_000
 
 
 def char_grams(df: DataFrame, id_cols: list[str], text_col: str, low: int, high: int, within_words: bool = True) -> DataFrame:
@@ -32,39 +49,187 @@ def gram_statistics(grams: DataFrame, n_records: int, min_df: int = 2, max_df: i
     return kept.withColumn("idf", F.log((1 + F.lit(n_records)) / (1 + F.col("df"))) + 1)
 
 
+def gram_code(gram: Column) -> Column:
+    return F.xxhash64(gram).bitwiseAND(F.lit((1 << CODE_BITS) - 1))
+
+
+def gram_weights(grams: DataFrame, statistics: DataFrame, id_cols: list[str]) -> DataFrame:
+    """(ids, gram, x): tf x idf, not yet of unit length."""
+    return grams.join(statistics.select("gram", "idf"), "gram").select(*id_cols, "gram", (F.col("tf") * F.col("idf")).alias("x"))
+
+
 def weights(grams: DataFrame, statistics: DataFrame, id_cols: list[str]) -> DataFrame:
     """(ids, gram, w): tf x idf, unit length a record."""
-    raw = grams.join(statistics.select("gram", "idf"), "gram").withColumn("x", F.col("tf") * F.col("idf"))
-    length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("entity_id")))
-    return raw.select(*id_cols, "gram", (F.col("x") / length).alias("w"))
+    raw = gram_weights(grams, statistics, id_cols)
+    length = raw.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("l"))
+    return raw.join(length, "entity_id").select(*id_cols, "gram", (F.col("x") / F.col("l")).alias("w"))
 
 
-def text_weights(records: DataFrame, text_col: str, low: int, high: int, within_words: bool = True, n_records: int | None = None, **caps: int) -> DataFrame:
-    """(entity_id, source, country_key, gram, w) of one text column over all records."""
+def text_grams(records: DataFrame, text_col: str, low: int, high: int, within_words: bool = True, n_records: int | None = None, **caps: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(grams, statistics, ids) of one text column over all records."""
     ids = ["entity_id", "source", "country_key"]
     grams = char_grams(records, ids, text_col, low, high, within_words)
     n = records.count() if n_records is None else n_records
-    return weights(grams, gram_statistics(grams, n, **caps), ids)
+    return grams, gram_statistics(grams, n, **caps), ids
 
 
-def top_k(w: DataFrame, k: int, floor: float, within_country: bool = True) -> DataFrame:
+def text_weights(records: DataFrame, text_col: str, low: int, high: int, within_words: bool = True, **caps: int) -> DataFrame:
+    """(entity_id, source, country_key, gram, w) of one text column over all records."""
+    return weights(*text_grams(records, text_col, low, high, within_words, **caps))
+
+
+def _pieces(text: str, low: int, high: int, within_words: bool) -> list[str]:
+    """The grams of ``char_grams``, of one text."""
+    words = [f" {w} " for w in text.split()] if within_words else [text] if len(text) >= low else []
+    return [w[i : i + n] for w in words for n in range(low, min(high, max(low, len(w))) + 1) for i in range(max(len(w) - n, 0) + 1)]
+
+
+def text_vectors(records: DataFrame, text_col: str, low: int, high: int, within_words: bool = True, **caps: int) -> DataFrame:
+    """(entity_id, source, country_key, grams, w): the same weights as two arrays a record; write them before they are used twice.
+
+    The vocabulary, bounded by ``max_features``, is shared with all workers, so no gram is shuffled again for its weight.
+    """
+    _, statistics, ids = text_grams(records, text_col, low, high, within_words, **caps)
+    known = statistics.select(gram_code(F.col("gram")).alias("g"), "idf").toArrow().sort_by("g")  # at most max_features rows
+    shared = records.sparkSession.sparkContext.broadcast((known["g"].to_numpy(), known["idf"].to_numpy()))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, idf = shared.value
+        # every gram is hashed and looked up once a worker
+        places: dict[str, int] = {}
+        for pdf in batches:
+            grams, weights = [], []
+            for text in pdf[text_col].fillna(""):
+                pieces = _pieces(text, low, high, within_words)
+                new = [p for p in pieces if p not in places]
+                if new:
+                    if len(places) > 1_000_000:
+                        places.clear()
+                        new = pieces
+                    h = np.array([xxhash.xxh64_intdigest(p, 42) & ((1 << CODE_BITS) - 1) for p in new], np.int64)
+                    at = np.minimum(np.searchsorted(codes, h), max(0, len(codes) - 1))
+                    places.update(zip(new, np.where(codes[at] == h, at, -1).tolist() if len(codes) else [-1] * len(new)))
+                found, tf = np.unique(np.array([places[p] for p in pieces], np.int64), return_counts=True)
+                tf, found = tf[found >= 0], found[found >= 0]
+                x = tf * idf[found]
+                grams.append(codes[found])
+                weights.append(x / np.sqrt((x * x).sum()) if len(x) else x)
+            some = np.array([len(g) > 0 for g in grams], bool)
+            out = pdf[ids].assign(grams=pd.Series(grams, pdf.index, object), w=pd.Series(weights, pdf.index, object))
+            yield out[some]
+
+    schema = "entity_id string, source int, country_key string, grams array<bigint>, w array<double>"
+    return records.select(*ids, text_col).mapInPandas(run, schema)
+
+
+def _flat(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, number of the row of each) of a list column; NULL lists have none."""
+    whole = pa.concat_arrays(col.chunks) if isinstance(col, pa.ChunkedArray) and col.num_chunks else col
+    if isinstance(whole, pa.ChunkedArray):
+        return np.zeros(0), np.zeros(0, np.int64)
+    lengths = pc.fill_null(pc.list_value_length(whole), 0).to_numpy(zero_copy_only=False)
+    return whole.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(lengths)), lengths)
+
+
+class Index:
+    """Targets by gram: for every gram the targets that hold it, in order of their ids."""
+
+    def __init__(self, codes: np.ndarray, rows: np.ndarray, w: np.ndarray):
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.starts, self.counts = np.unique(codes[order], return_index=True, return_counts=True)
+        self.rows, self.w = rows[order], w[order]
+
+    def entries(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether the gram is there, its place) of each code."""
+        at = np.searchsorted(self.codes, codes)
+        at[at == len(self.codes)] = 0
+        return self.codes[at] == codes if len(self.codes) else np.zeros(len(codes), bool), at
+
+
+def _similar(k: int, floor: float):
+    def run(q: pa.Table, t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of queries and targets (in the order of their ids), and cosines, of the k best of each source."""
+        codes, rows = _flat(t["grams"])
+        index = Index(codes, rows, _flat(t["w"])[0])
+        source = t["source"].to_numpy()
+        qc, qr = _flat(q["grams"])
+        qw = _flat(q["w"])[0]
+        there, at = index.entries(qc)
+        qr, qw, at = qr[there], qw[there], at[there]
+        n_t, n_q = len(source), q.num_rows
+        size = index.counts[at]
+        # queries are taken in batches of a bounded number of products and of cells
+        work = np.cumsum(np.bincount(qr, weights=size, minlength=n_q) + n_t)
+        batch = (work // _AT_ONCE).astype(np.int64)
+        first = np.searchsorted(batch, np.arange(batch[-1] + 2)) if n_q else np.zeros(1, int)
+        out = []
+        for low, high in zip(first[:-1], first[1:]):
+            if low == high:
+                continue
+            a, b = np.searchsorted(qr, [low, high])
+            lens = size[a:b]
+            total = int(lens.sum())
+            if not total:
+                continue
+            place = np.arange(total) + np.repeat(index.starts[at[a:b]] - (np.cumsum(lens) - lens), lens)
+            cell = index.rows[place] + np.repeat((qr[a:b] - low) * n_t, lens)
+            cos = np.bincount(cell, weights=index.w[place] * np.repeat(qw[a:b], lens))
+            hit = np.flatnonzero(cos > max(0.0, floor - 1e-6))
+            cos = np.round(cos[hit], 6)
+            hit, cos = hit[cos >= floor], cos[cos >= floor]
+            row, target = hit // n_t, hit % n_t
+            best = ranked(row * 4 + source[target], cos, k)
+            out.append((row[best] + low, target[best], cos[best]))
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+
+    return run
+
+
+def top_k(vectors: DataFrame, k: int, floor: float, within_country: bool = True) -> DataFrame:
     """(s1_id, cand_id, cand_source, cos): for every S1 record its k most similar of each target source.
 
-    Cosines are rounded to six places, compared to the floor, and ties go by id.
+    ``vectors`` are as of ``text_vectors``.  Cosines are rounded to six places, compared to the floor, and ties go by id.
+    """
+    return best_in_blocks(vectors, ["grams", "w"], _similar(k, floor), k, within_country)
+
+
+@F.arrow_udf(DoubleType())
+def _shared(ga: pa.Array, wa: pa.Array, gb: pa.Array, wb: pa.Array) -> pa.Array:
+    out = []
+    step = 1 << (62 - CODE_BITS)
+    for at in range(0, len(ga), step):
+        (ca, ra), (cb, rb) = _flat(ga.slice(at, step)), _flat(gb.slice(at, step))
+        n = len(ga.slice(at, step))
+        x, y = _flat(wa.slice(at, step))[0], _flat(wb.slice(at, step))[0]
+        ka, kb = (ra << CODE_BITS) | ca.astype(np.int64), (rb << CODE_BITS) | cb.astype(np.int64)
+        if not len(ka) or not len(kb):
+            out.append(np.zeros(n))
+            continue
+        place = np.minimum(np.searchsorted(ka, kb), len(ka) - 1)
+        same = ka[place] == kb
+        out.append(np.bincount(rb[same], weights=x[place[same]] * y[same], minlength=n))
+    return pa.array(np.concatenate(out) if out else np.zeros(0))
+
+
+def paired_cosines(pairs: DataFrame, vectors: dict[str, DataFrame]) -> DataFrame:
+    """``pairs(s1_id, cand_id, ...)`` with a column for each of ``vectors``: the cosine of both records, 0 where nothing is shared.
+
+    All arrays of a record travel together, so every record is joined twice, however many cosines there are.
     """
-    q = w.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key", "gram", F.col("w").alias("wq"))
-    t = w.filter("source > 1").select(F.col("entity_id").alias("cand_id"), F.col("source").alias("cand_source"), "country_key", "gram", F.col("w").alias("wt"))
-    keys = ["country_key", "gram"] if within_country else ["gram"]
-    q, t = (q, t) if within_country else (q.drop("country_key"), t.drop("country_key"))
-    sims = q.join(t, keys).groupBy("s1_id", "cand_id", "cand_source").agg(F.round(F.sum(F.col("wq") * F.col("wt")), 6).alias("cos"))
-    best = Window.partitionBy("s1_id", "cand_source").orderBy(F.col("cos").desc(), "cand_id")
-    return sims.filter(F.col("cos") >= floor).withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).drop("r")
-
-
-def paired_cosine(pairs: DataFrame, w: DataFrame, name: str) -> DataFrame:
-    """``pairs(s1_id, cand_id, ...)`` with the cosine of both records' texts, 0 where nothing is shared."""
-    some = pairs.select("s1_id", "cand_id").distinct()
-    a = w.select(F.col("entity_id").alias("s1_id"), "gram", F.col("w").alias("wa"))
-    b = w.select(F.col("entity_id").alias("cand_id"), "gram", F.col("w").alias("wb"))
-    sums = some.join(a, "s1_id").join(b, ["cand_id", "gram"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    return pairs.join(sums, ["s1_id", "cand_id"], "left").withColumn(name, F.round(F.coalesce("dot", F.lit(0.0)), 6)).drop("dot")
+    every = None
+    for i, v in enumerate(vectors.values()):
+        part = v.select("entity_id", F.col("grams").alias(f"g{i}"), F.col("w").alias(f"w{i}"))
+        every = part if every is None else every.join(part, "entity_id", "full")
+    cols = [c for c in every.columns if c != "entity_id"]
+    a = every.select(F.col("entity_id").alias("s1_id"), *[F.col(c).alias(f"__a_{c}") for c in cols])
+    b = every.select(F.col("entity_id").alias("cand_id"), *[F.col(c).alias(f"__b_{c}") for c in cols])
+    met = pairs.join(a, "s1_id", "left").join(b, "cand_id", "left")
+    # rounded here, or a projection that wants one cosine would be evaluated with the arrays of all
+    return met.select(
+        *[c for c in pairs.columns if c not in vectors],
+        *[F.round(_shared(f"__a_g{i}", f"__a_w{i}", f"__b_g{i}", f"__b_w{i}"), 6).alias(name) for i, name in enumerate(vectors)],
+    )
+
+
+def paired_cosine(pairs: DataFrame, vectors: DataFrame, name: str) -> DataFrame:
+    return paired_cosines(pairs, {name: vectors})

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftlink.config import Config
+from weftlink.functions import fuzzy
 from weftlink.functions import text as X
 from weftlink.functions.vectors import hashing_embedding
 from weftlink.operators import blocking as B
@@ -15,6 +18,7 @@ from weftlink.operators import features as P
 from weftlink.operators import matcher as M
 from weftlink.operators import metrics as E
 from weftlink.operators import synth, tfidf, validate
+from weftlink.plans import pipeline
 from weftlink.session import cut, table
 from weftlink.sources import records as S
 
@@ -54,7 +58,7 @@ def normalize_records(spark, sf_dir):
 
 def contact_keys(spark, sf_dir):
     blob = F.lower(F.concat_ws(" ", "business_name", "business_address"))
-    return S.all_records(spark, sf_dir).select("entity_id", *[F.array_join(F.array_sort(v), ",").alias(k) for k, v in X.contact_keys(blob).items()])
+    return S.all_records(spark, sf_dir).select("entity_id", *[F.array_join(F.sort_array(v), ",").alias(k) for k, v in X.contact_keys(blob).items()])
 
 
 def truth_lists(spark, sf_dir):
@@ -80,28 +84,28 @@ def squish_weights(spark, sf_dir):
 
 
 def block_name_topk(spark, sf_dir):
-    return tfidf.top_k(B.name_weights(_normal(spark, sf_dir), CFG), CFG.knn_name, CFG.min_name_cosine)
+    return tfidf.top_k(cut(B.name_vectors(_normal(spark, sf_dir), CFG)), CFG.knn_name, CFG.min_name_cosine)
 
 
 def block_addr_topk(spark, sf_dir):
-    return tfidf.top_k(B.address_weights(_normal(spark, sf_dir), CFG), CFG.knn_addr, CFG.min_addr_cosine)
+    return tfidf.top_k(cut(B.address_vectors(_normal(spark, sf_dir), CFG)), CFG.knn_addr, CFG.min_addr_cosine)
 
 
 def block_squish_topk(spark, sf_dir):
-    return tfidf.top_k(B.squish_weights(_normal(spark, sf_dir), CFG), CFG.knn_squish, CFG.min_squish_cosine)
+    return tfidf.top_k(cut(B.squish_vectors(_normal(spark, sf_dir), CFG)), CFG.knn_squish, CFG.min_squish_cosine)
 
 
 def block_postal_capped(spark, sf_dir):
     return B.postal_pairs(_normal(spark, sf_dir), CFG.postal_cap)
 
 
-def _vectors(spark, sf_dir):
+def _dense(spark, sf_dir):
     t = table(spark, sf_dir, "embeddings")
     return t.select("vec_id", F.concat(F.lit("V"), F.col("vec_id").cast("string")).alias("id"), (F.col("vec_id") % 3 + 1).cast("int").alias("source"), F.col("label").cast("string").alias("country_key"), F.col("embedding").alias("v"))
 
 
 def block_embedding_topk(spark, sf_dir):
-    return B.vector_top_k(_vectors(spark, sf_dir), CFG.knn_embed, 0.1)
+    return B.vector_top_k(_dense(spark, sf_dir), CFG.knn_embed, 0.1)
 
 
 def candidates_union(spark, sf_dir):
@@ -115,8 +119,7 @@ def hashing_vectors(spark, sf_dir):
 def pair_features_native(spark, sf_dir):
     normal = cut(_normal(spark, sf_dir))
     pairs = _scored(spark, sf_dir).select("s1_id", "cand_id", "cand_source", F.col("score").alias("name_cos"))
-    pairs = tfidf.paired_cosine(pairs, B.address_weights(normal, CFG), "addr_cos")
-    pairs = tfidf.paired_cosine(pairs, B.squish_weights(normal, CFG), "squish_cos")
+    pairs = tfidf.paired_cosines(pairs, {"addr_cos": B.address_vectors(normal, CFG), "squish_cos": B.squish_vectors(normal, CFG)})
     out = P.native_features(P.attach(pairs, normal))
     names = [f for f in P.FEATURES if not f.startswith("rf_")]
     return out.select("s1_id", "cand_id", *[F.round(F.col(f).cast("double"), 6).alias(f) for f in names])
@@ -187,7 +190,7 @@ def sample_entities(spark, sf_dir):
 
 def _with_addr(spark, sf_dir):
     normal = cut(_normal(spark, sf_dir))
-    pairs = tfidf.paired_cosine(_scored(spark, sf_dir), B.address_weights(normal, CFG), "addr_cos")
+    pairs = tfidf.paired_cosine(_scored(spark, sf_dir), B.address_vectors(normal, CFG), "addr_cos")
     return P.native_features(P.attach(pairs, normal)), normal
 
 
@@ -206,9 +209,9 @@ def band_rerank_stub(spark, sf_dir):
 
 def cold_threshold_routing(spark, sf_dir):
     country = _normal(spark, sf_dir).select(F.col("entity_id").alias("s1_id"), "country_key")
-    seen = [r["country_key"] for r in country.select("country_key").distinct().orderBy("country_key").limit(10_000).collect() if r["country_key"] != HELD_OUT]
-    scored = _scored(spark, sf_dir).join(country, "s1_id")
-    return D.above(scored, D.routed_threshold(0.5, M.clipped_median([0.36, 0.91, 0.7], CFG.loco_range), seen))
+    seen = country.select("country_key").distinct().filter(F.col("country_key") != HELD_OUT)
+    scored = D.routed(_scored(spark, sf_dir).join(country, "s1_id"), 0.5, M.clipped_median([0.36, 0.91, 0.7], CFG.loco_range), seen)
+    return D.above(scored, F.col("threshold")).select("s1_id", "cand_id", "cand_source", "score", "country_key")
 
 
 def match_structure(spark, sf_dir):
@@ -254,7 +257,50 @@ def _lines(spark, sf_dir):
 def validate_candidates(spark, sf_dir):
     targets = table(spark, sf_dir, "source2").select("entity_id").unionByName(table(spark, sf_dir, "source3").select("entity_id"))
     found = validate.validate_lines(_lines(spark, sf_dir), "candidate_pairs", "candidate_entity_ids", _ids(spark, sf_dir), targets)
-    return found.filter("rule <> 'columns'").select("file", "rule", "level", "n", "examples")
+    return found.select("file", "rule", "level", "n", "examples")
+
+
+#: A result file that breaks every rule.
+BROKEN = ["s1_entity_id\tmatched", "S1-1\tS2-1,S2-1", "S1-1\tS1-9", "S1-8\tX-1", "S1-2", "S1-3\tS2-404\tmore", "S1-4\tS3-404"]
+
+
+def validate_broken(spark, sf_dir):
+    """Every rule on a file of its own, in both modes."""
+    lines = spark.createDataFrame(list(enumerate(BROKEN, 1)), "line_no long, value string")
+    ids = spark.createDataFrame([(f"S1-{i}",) for i in range(1, 5)], "id string")
+    targets = spark.createDataFrame([("S2-1",)], "id string")
+    each = [validate.validate_lines(lines, mode, "matched_entity_ids", ids, targets, mode) for mode in ("official", "strict")]
+    return each[0].unionByName(each[1])
+
+
+def fuzzy_ratios(spark, sf_dir):
+    """The string similarities on pairs of texts whose values were worked out by hand."""
+    rows = [("abcd", "abed"), ("new york mets", "mets new york"), ("a b", "a b c"), ("", ""), ("", "x"), ("apex foods", "apex motors"), ("abc", "xxabcxx"), ("ab", "bxxxa")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    s = fuzzy.scores_of("a", "b", "a", "b")
+    return df.select("a", "b", s.alias("s")).select("a", "b", *[F.round(f"s.{c}", 6).alias(c) for c in ("token_set", "token_sort", "partial")])
+
+
+def approximate_neighbours(spark, sf_dir):
+    """One row: whether the search by lists of centroids finds nine in ten of the exact nearest, over all embeddings."""
+    vectors = cut(_dense(spark, sf_dir).withColumn("country_key", F.lit("")))
+    exact = B.vector_top_k(vectors, CFG.knn_embed, 0.1).select("s1_id", "cand_id")
+    near = B.approximate_top_k(vectors, CFG.knn_embed, 0.1).select("s1_id", "cand_id", F.lit(1).alias("hit"))
+    found = exact.join(near, ["s1_id", "cand_id"], "left").agg(F.count(F.lit(1)).alias("n_exact"), F.count("hit").alias("n"))
+    return found.select("n_exact", (F.col("n") >= 0.9 * F.col("n_exact")).alias("nine_in_ten"))
+
+
+def rerank_cold(spark, sf_dir):
+    """The band around each pair's own threshold, reranked: warm pairs at 0.5, those of the held-out country at 0.7."""
+    normal = cut(_normal(spark, sf_dir))
+    country = normal.select(F.col("entity_id").alias("s1_id"), "country_key")
+    seen = country.select("country_key").distinct().filter(F.col("country_key") != HELD_OUT)
+    scored = D.routed(_scored(spark, sf_dir).join(country, "s1_id"), 0.5, 0.7, seen)
+    return pipeline.decided(scored, normal, replace(CFG, use_cross_encoder=True)).select("s1_id", "cand_id", "score")
+
+
+def reranker_split(spark, sf_dir):
+    return M.split_report(M.reranker_split(hard_negative_mining(spark, sf_dir)))
 
 
 def validate_subset(spark, sf_dir):
@@ -269,10 +315,8 @@ def _training_rows(spark, sf_dir):
     missed = B.missed_pairs(judged, true, ids, normal).withColumn("label", F.lit(1)).withColumn("missed", F.lit(True))
     parts = E.entity_split(ids, CFG.val_fraction, CFG.seed).withColumn("validation", F.col("part") == "val").drop("part")
     country = normal.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key")
-    pairs = cut(judged.unionByName(tfidf.paired_cosine(missed, B.name_weights(normal, CFG), "name_cos")).join(parts, "s1_id").join(country, "s1_id"))
-    # written one after the other: the shuffle files of one cosine are gone before the next
-    pairs = cut(tfidf.paired_cosine(pairs, B.address_weights(normal, CFG), "addr_cos"))
-    pairs = cut(tfidf.paired_cosine(pairs, B.squish_weights(normal, CFG), "squish_cos"))
+    pairs = cut(judged.unionByName(tfidf.paired_cosine(missed, B.name_vectors(normal, CFG), "name_cos")).join(parts, "s1_id").join(country, "s1_id"))
+    pairs = tfidf.paired_cosines(pairs, {"addr_cos": B.address_vectors(normal, CFG), "squish_cos": B.squish_vectors(normal, CFG)})
     every = cut(P.all_features(pairs, normal))
     return every.filter("NOT missed").drop("missed"), every.filter("missed").drop("missed")
 
@@ -311,6 +355,6 @@ QUERIES = {
         label_pairs, missed_positives, blocking_recall, assign_unique, matches_by_s1, grouped_id_lists, entity_fbeta, macro_fbeta, threshold_curve,
         tune_threshold, entity_split, sample_entities, corroborate, band_rerank_stub, cold_threshold_routing, match_structure, exact_key_pairs,
         exact_key_analysis, deterministic_reach, residual_bigram, hard_negative_mining, validate_candidates, validate_subset, matcher_scores,
-        feature_importance, cold_country_threshold, synthetic_split,
+        feature_importance, cold_country_threshold, synthetic_split, validate_broken, fuzzy_ratios, approximate_neighbours, rerank_cold, reranker_split,
     )
 }

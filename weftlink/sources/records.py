@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftlink.functions import text as X
+from weftlink.session import exists, file_of
 
 COLUMNS = ("entity_id", "business_name", "business_address", "country")
 
@@ -16,6 +17,41 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     return with_header.csv(path, inferSchema=False).na.fill("")
 
 
+def _place() -> Column:
+    """Where a row stands in its files: by file, part of the file, and row of the part, whatever order the parts are read in."""
+    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+
+
+def ids_in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """(id, at): the ids of a source file and where each stands first."""
+    raw = read_tsv(spark, path)
+    rows = raw.select(X.strip(F.col("entity_id")).alias("id"), _place().alias("at")).filter("id <> ''")
+    return rows.groupBy("id").agg(F.min("at").alias("at"))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, value): the lines of a file, numbered from 1, as they are.
+
+    Lines are numbered within each part of the file; only the sizes of the parts come to the driver.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    sizes = raw.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first")).orderBy("file", "start").collect()  # one row a part of the file
+    before, rows = 0, []
+    for s in sizes:
+        rows.append((s["file"], s["start"], before - s["first"] + 1))
+        before += s["n"]
+    shifts = spark.createDataFrame(rows, "file string, start long, shift long")
+    # rows of a part are numbered one by one
+    return raw.join(shifts, ["file", "start"]).select((F.col("row") + F.col("shift")).alias("line_no"), "value")
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(id): the ids of a file, by the column entity_id or source1_entity_id, else the first."""
+    raw = read_tsv(spark, path)
+    named = [c for c in raw.columns if c.lower() in ("entity_id", "source1_entity_id")]
+    return raw.select(X.strip(F.col(f"`{(named or raw.columns)[0]}`")).alias("id")).filter("id <> ''").distinct()
+
+
 def as_records(df: DataFrame, unique: bool = True) -> DataFrame:
     """The four columns, stripped, without rows that lack an id; extra columns are dropped.
 
@@ -38,14 +74,14 @@ def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     lower = {c.lower(): c for c in raw.columns}
     id_col = lower.get("source1_entity_id", raw.columns[0])
     list_col = lower.get("matched_entity_ids", raw.columns[1])
-    rows = raw.select(X.strip(F.col(f"`{id_col}`")).alias("source1_entity_id"), X.id_list(F.col(f"`{list_col}`")).alias("matched"), F.monotonically_increasing_id().alias("at"))
+    rows = raw.select(X.strip(F.col(f"`{id_col}`")).alias("source1_entity_id"), X.id_list(F.col(f"`{list_col}`")).alias("matched"), _place().alias("at"))
     return rows.filter("source1_entity_id <> ''").groupBy("source1_entity_id").agg(F.max_by("matched", "at").alias("matched"))
 
 
 def latest_truth(labels: DataFrame) -> DataFrame:
     """(source1_entity_id, matched) of a labels table: the row with the latest ``labelled_at`` holds."""
     rows = labels.select(
-        F.trim("source1_entity_id").alias("source1_entity_id"), F.array_sort(X.id_list(F.col("matched_entity_ids"))).alias("matched"), "labelled_at"
+        F.trim("source1_entity_id").alias("source1_entity_id"), F.sort_array(X.id_list(F.col("matched_entity_ids"))).alias("matched"), "labelled_at"
     ).filter("source1_entity_id <> ''")
     return rows.groupBy("source1_entity_id").agg(F.max(F.struct("labelled_at", "matched")).matched.alias("matched"))
 
@@ -59,28 +95,44 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(sep="\t", header=True, quote="", emptyValue="", nullValue="").csv(path)
 
 
+def write_file(df: DataFrame, path: str) -> None:
+    """As ``write_tsv``, but one file with one header: the parts are written in order, then appended byte by byte."""
+    spark = df.sparkSession
+    parts = f"{path}.parts"
+    lines = df.select(F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]).alias("value"))
+    lines.write.mode("overwrite").text(parts)
+    fs, target = file_of(spark, path)
+    _, folder = file_of(spark, parts)
+    if fs.exists(target):
+        fs.delete(target, True)
+    copy = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes
+    out = fs.create(target, True)
+    try:
+        out.write(("\t".join(df.columns) + "\n").encode())
+        for part in sorted(s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")):
+            source = fs.open(file_of(spark, part)[1])
+            copy(source, out, 1 << 16, False)
+            source.close()
+    finally:
+        out.close()
+    fs.delete(folder, True)
+
+
 def write_id_lists(lists: DataFrame, path: str, id_col: str, list_col: str) -> None:
-    """``lists(id, ids)`` as two columns, ids comma-joined without repeats, sorted by id in one ordered set of files."""
-    out = lists.select(F.col("id").alias(id_col), F.array_join(F.array_distinct("ids"), ",").alias(list_col))
-    write_tsv(out.sort(id_col), path)
+    """``lists(id, ids, at)`` as one file of two columns, ids comma-joined without repeats, in the order of ``at``."""
+    out = lists.sort("at").select(F.col("id").alias(id_col), F.array_join(F.array_distinct("ids"), ",").alias(list_col))
+    write_file(out, path)
 
 
-def resolve_paths(spark: SparkSession, data_dir: str, split: str) -> dict[str, str]:
+def resolve_paths(spark: SparkSession, data_dir: str, split: str, sources: tuple[str, ...] = ("source1", "source2", "source3")) -> dict[str, str]:
     """Paths of source1..3, and of ground_truth for train, over the four folder layouts.
 
     Raises FileNotFoundError where a source is in none of them.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def there(path: str) -> bool:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).exists(p)
-
     out = {}
-    for kind in ("source1", "source2", "source3", *(("ground_truth",) if split == "train" else ())):
+    for kind in (*sources, *(("ground_truth",) if split == "train" else ())):
         names = [f"{split}/{split}_{kind}.tsv", f"{split}/{kind}.tsv", f"{split}_{kind}.tsv", f"{kind}.tsv"]
-        found = next((f"{data_dir}/{n}" for n in names if there(f"{data_dir}/{n}")), None)
+        found = next((f"{data_dir}/{n}" for n in names if exists(spark, f"{data_dir}/{n}")), None)
         if found is None:
             raise FileNotFoundError(f"no {kind} of {split} in {data_dir}")
         out[kind] = found
