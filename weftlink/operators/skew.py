@@ -1,10 +1,11 @@
 """Per-key results when a few keys hold most rows.
 
-The rows are first folded to distinct (key, value) with their multiplicity, so a hot key is
-spread over all of its values.  The keys are dictionary-encoded; every split then adds its
-rows into dense numpy accumulators (one slot a key code, and one histogram of value lengths
-a key), whose blocks are summed by a two-level distributed reduction.  No task ever holds
-the rows of one key.
+Every input split encodes the keys it meets in a dictionary of its own and adds its rows, as they are
+read, into dense numpy accumulators by ``bincount``: the counts of a key, and the histogram of its
+value lengths in blocks of ``LENGTHS`` slots.  A split gives one array a key and block, however many rows it has,
+so a hot key costs no more than a rare one; the arrays of all splits are summed by a
+two-level distributed reduction.  Only different values are shuffled by (key, value), which spreads a
+hot key over all of its values, and they go through the same accumulators.  No key is collected.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 1024
 LENGTHS = 64
-_BLOCK_SCHEMA = "kind int, major long, minor long, sums array<bigint>"
+#: A split hands its arrays on when its dictionary has so many keys, so its memory is bounded.
+KEYS = 1 << 15
+#: The block of a key that holds its counts; blocks of its histogram count from 0.
+COUNTS = -1
+_BLOCKS = "key string, block long, sums array<bigint>"
 
 
 def clean_key(col: Column) -> Column:
@@ -26,128 +30,106 @@ def clean_key(col: Column) -> Column:
     return F.lower(F.trim(F.coalesce(col.cast("string"), F.lit(""))))
 
 
-def _sum_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total: dict[tuple[int, int, int], np.ndarray] = {}
-    for pdf in batches:
-        for kind, major, minor, sums in zip(pdf["kind"], pdf["major"], pdf["minor"], pdf["sums"]):
-            at = (int(kind), int(major), int(minor))
-            if at in total:
-                total[at] = total[at] + sums
-            else:
-                total[at] = np.asarray(sums, dtype=np.int64)
-    if total:
-        yield pd.DataFrame(
-            [(k, a, b, v) for (k, a, b), v in total.items()], columns=["kind", "major", "minor", "sums"]
-        )
-
+class Accumulators:
+    """Dense arrays of one split, by code of its own dictionary."""
+
+    def __init__(self):
+        self.codes: dict[str, int] = {}
+        self.counts = np.zeros((0, 2), np.int64)
+        self.lengths: dict[tuple[int, int], np.ndarray] = {}
+
+    def add(self, keys: pd.Series, sizes: np.ndarray, column: int, histogram: bool) -> None:
+        """One row a key; a size below 0 stands for no value."""
+        local, found = pd.factorize(keys)
+        own = np.array([self.codes.setdefault(k, len(self.codes)) for k in found], np.int64)
+        if len(self.codes) > len(self.counts):
+            self.counts = np.vstack([self.counts, np.zeros((max(len(self.codes) - len(self.counts), len(self.counts)), 2), np.int64)])
+        codes = own[local]
+        self.counts[:, column] += np.bincount(codes, minlength=len(self.counts))
+        if not histogram:
+            return
+        there = sizes >= 0
+        codes, sizes = codes[there], sizes[there]
+        span = int(sizes.max(initial=0)) // LENGTHS + 1
+        slots, dense = np.unique(codes * span + sizes // LENGTHS, return_inverse=True)
+        counts = np.bincount(dense * LENGTHS + sizes % LENGTHS, minlength=len(slots) * LENGTHS)
+        for slot, part in zip(slots.tolist(), counts.reshape(-1, LENGTHS)):
+            at = (slot // span, slot % span)
+            self.lengths[at] = self.lengths[at] + part if at in self.lengths else part
+
+    def blocks(self) -> pd.DataFrame:
+        names = list(self.codes)
+        rows = [(k, COUNTS, self.counts[i]) for i, k in enumerate(names)]
+        rows += [(names[code], block, sums) for (code, block), sums in self.lengths.items()]
+        return pd.DataFrame(rows, columns=["key", "block", "sums"])
+
+
+def accumulated(rows: DataFrame, column: int, histogram: bool) -> DataFrame:
+    """``rows(key, len)`` -> (key, block, sums): the arrays of every split, counts in ``column``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = Accumulators()
+        for pdf in batches:
+            own.add(pdf["key"], pdf["len"].to_numpy(np.int64), column, histogram)
+            if len(own.codes) > KEYS or len(own.lengths) > KEYS:
+                yield own.blocks()
+                own = Accumulators()
+        if own.codes:
+            yield own.blocks()
 
-def reduce_blocks(blocks: DataFrame, fan: int = 16) -> DataFrame:
-    """Sums equal blocks in two levels: within ``fan`` groups of splits, then over the groups."""
-    salted = blocks.withColumn("salt", F.spark_partition_id() % fan)
-    first = salted.repartition("kind", "major", "minor", "salt").mapInPandas(_sum_salted, _BLOCK_SCHEMA + ", salt int")
-    return first.drop("salt").repartition("kind", "major", "minor").mapInPandas(_sum_blocks, _BLOCK_SCHEMA)
+    return rows.mapInPandas(run, _BLOCKS)
 
 
-def _sum_salted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    by_salt: dict[int, list[pd.DataFrame]] = {}
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    total: dict[tuple[str, int], np.ndarray] = {}
     for pdf in batches:
-        for salt, part in pdf.groupby("salt"):
-            kept = by_salt.setdefault(int(salt), [])
-            kept.append(part)
-            if len(kept) > 8:
-                by_salt[int(salt)] = list(_sum_blocks(iter(kept)))
-    for salt, parts in by_salt.items():
-        for out in _sum_blocks(iter(parts)):
-            yield out.assign(salt=salt)
+        for key, block, sums in zip(pdf["key"], pdf["block"].tolist(), pdf["sums"]):
+            at = (key, block)
+            total[at] = total[at] + sums if at in total else np.asarray(sums, np.int64)
+        if len(total) > 4 * KEYS:
+            yield pd.DataFrame([(k, b, v) for (k, b), v in total.items()], columns=["key", "block", "sums"])
+            total.clear()
+    if total:
+        yield pd.DataFrame([(k, b, v) for (k, b), v in total.items()], columns=["key", "block", "sums"])
 
 
-def dense_profile(values: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
-    """``values(key, value, n)`` -> (code, n_records, n_names) and length histograms, as summed blocks.
+def reduced(blocks: DataFrame, fan: int = 16) -> DataFrame:
+    """(key, block, pos, n): equal blocks summed, first within ``fan`` groups of splits, then over the groups.
 
-    kind 0: records a key, kind 1: values a key (major: code block); kind 2: histogram of
-    lengths of one key (major: code, minor: length block).
+    A task that meets very many keys hands its sums on in parts, so the last sums are taken slot by slot.
     """
-    shared = values.sparkSession.sparkContext.broadcast(keys)
+    salted = blocks.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(fan)))
+    first = salted.repartition("key", "block", "salt").drop("salt").mapInPandas(_summed, _BLOCKS)
+    second = first.repartition("key", "block").mapInPandas(_summed, _BLOCKS)
+    cells = second.select("key", "block", F.posexplode("sums").alias("pos", "n")).filter("n > 0")
+    return cells.groupBy("key", "block", "pos").agg(F.sum("n").alias("n"))
 
-    def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = pd.Index(shared.value)
-        records = np.zeros(len(index), dtype=np.int64)
-        names = np.zeros(len(index), dtype=np.int64)
-        lengths: dict[tuple[int, int], np.ndarray] = {}
-        for pdf in batches:
-            codes = index.get_indexer(pdf["key"])
-            n = pdf["n"].to_numpy(np.int64)
-            records += np.bincount(codes, weights=n, minlength=len(index)).astype(np.int64)
-            has = (pdf["len"] > 0).to_numpy()
-            names += np.bincount(codes[has], minlength=len(index))
-            size = pdf["len"].to_numpy(np.int64)[has]
-            span = int(size.max(initial=0)) // LENGTHS + 1
-            slots, dense = np.unique(codes[has].astype(np.int64) * span + size // LENGTHS, return_inverse=True)
-            counts = np.bincount(dense * LENGTHS + size % LENGTHS, weights=n[has], minlength=len(slots) * LENGTHS)
-            for slot, part in zip(slots, counts.astype(np.int64).reshape(-1, LENGTHS)):
-                at = (int(slot // span), int(slot % span))
-                lengths[at] = lengths[at] + part if at in lengths else part
-        rows = []
-        for kind, whole in ((0, records), (1, names)):
-            for start in range(0, len(whole), block):
-                if whole[start : start + block].any():
-                    rows.append((kind, start // block, 0, whole[start : start + block]))
-        rows += [(2, code, part, counts) for (code, part), counts in lengths.items()]
-        if rows:
-            yield pd.DataFrame(rows, columns=["kind", "major", "minor", "sums"])
-
-    return reduce_blocks(values.mapInPandas(accumulate, _BLOCK_SCHEMA))
-
-
-def key_profile(df: DataFrame, key: str, value: str, max_dense_keys: int = 1 << 17, block: int = BLOCK) -> DataFrame:
+
+def key_profile(df: DataFrame, key: str, value: str) -> DataFrame:
     """One row a cleaned key: ``key, n_records, n_names, mid_len``.
 
     ``n_names`` counts different values leaving out NULL and ''; ``mid_len`` is the lower median
     of their lengths in code points over the rows, NULL where the key has no such value.  An
     empty table gives no rows; repeated rows count.  Columns other than the two are not read.
-    Beyond ``max_dense_keys`` different keys the accumulators are kept sparse (same results,
-    still without bringing the rows of a key together).
     """
-    spark = df.sparkSession
-    rows = df.select(clean_key(F.col(key)).alias("key"), F.col(value).alias("value"))
-    values = (
-        rows.groupBy("key", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("key", F.coalesce(F.length("value"), F.lit(0)).alias("len"), "n")
-    )
-    found = rows.select("key").distinct().limit(max_dense_keys + 1).collect()
-    if len(found) <= max_dense_keys:
-        keys = sorted(r["key"] for r in found)
-        blocks = dense_profile(values, keys, block)
-        cells = blocks.select("kind", "major", "minor", F.posexplode("sums").alias("pos", "n")).filter("n > 0")
-        size = F.when(F.col("kind") == 2, F.col("minor") * LENGTHS + F.col("pos"))
-        code = F.when(F.col("kind") == 2, F.col("major")).otherwise(F.col("major") * block + F.col("pos"))
-        cells = cells.select("kind", code.alias("code"), size.alias("len"), "n")
-        names = spark.createDataFrame(list(enumerate(keys)), "code long, key string")
-        cells = cells.join(F.broadcast(names) if len(keys) <= block else names, "code").drop("code")
-    else:
-        part = values.groupBy("key", "len").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
-        none = F.lit(None).cast("long")
-        named = part.filter("len > 0")
-        cells = (
-            part.select(F.lit(0).alias("kind"), "key", none.alias("len"), "n")
-            .unionByName(named.select(F.lit(1).alias("kind"), "key", none.alias("len"), F.col("m").alias("n")))
-            .unionByName(named.select(F.lit(2).alias("kind"), "key", F.col("len").cast("long").alias("len"), "n"))
-        )
+    rows = df.select(clean_key(F.col(key)).alias("key"), F.nullif(F.col(value).cast("string"), F.lit("")).alias("value"))
+    records = rows.select("key", F.coalesce(F.length("value"), F.lit(-1)).alias("len"))
+    names = rows.filter("value IS NOT NULL").distinct().select("key", F.lit(-1).alias("len"))
+    cells = reduced(accumulated(records, 0, True).unionByName(accumulated(names, 1, False)))
+    length = F.col("block") * LENGTHS + F.col("pos")
     upto = Window.partitionBy("key").orderBy("len")
     whole = Window.partitionBy("key")
+    # a key's cells are its different lengths, not its rows
     mids = (
-        cells.filter("kind = 2")
-        .groupBy("key", "len")
-        .agg(F.sum("n").alias("n"))
+        cells.filter(F.col("block") != COUNTS)
+        .select("key", length.alias("len"), "n")
         .withColumn("upto", F.sum("n").over(upto))
         .withColumn("k", F.sum("n").over(whole))
         .filter("upto >= ceil(k / 2)")
         .groupBy("key")
         .agg(F.min("len").alias("mid_len"))
     )
-    sums = cells.filter("kind < 2").groupBy("key").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("n_records"),
-        F.coalesce(F.sum(F.when(F.col("kind") == 1, F.col("n"))), F.lit(0)).alias("n_names"),
+    counts = cells.filter(F.col("block") == COUNTS).groupBy("key").agg(
+        F.sum(F.when(F.col("pos") == 0, F.col("n"))).alias("n_records"), F.coalesce(F.sum(F.when(F.col("pos") == 1, F.col("n"))), F.lit(0)).alias("n_names")
     )
-    return sums.join(mids, "key", "left").select("key", "n_records", "n_names", F.col("mid_len").cast("long").alias("mid_len"))
+    return counts.join(mids, "key", "left").select("key", "n_records", "n_names", F.col("mid_len").cast("long").alias("mid_len"))
