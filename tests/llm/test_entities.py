@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftlink.llm import addresses, matching, names
 from weftlink.llm.fold import fold, osa
@@ -169,3 +170,32 @@ def test_latest_labels(spark):
 @pytest.mark.parametrize(("a", "b", "short"), [("plst", "plastics", True), ("manu", "manufacturing", True), ("hdm", "handloom", False), ("abc", "abd", False)])
 def test_abbreviations(a, b, short):
     assert names.short_for(a, b) is short
+
+
+def test_one_street_name_in_many_towns(spark):
+    """Streets of one name in ten thousand towns are not compared with each other: keys hold the locality."""
+    from weftlink.llm.addresses import gazetteer, resolve, street_keys
+
+    rng = random.Random(7)
+    towns = sorted({"".join(rng.choice("bcdfghjklmnprstvz") + rng.choice("aeiou") for _ in range(4)) for _ in range(11_000)})[:10_000]
+    # any two postcodes differ in two digits or more, so no locality is taken for a misspelling of another
+    posts = [f"{i:04d}{i * 37 % 97:02d}" for i in range(len(towns))]
+    rows = [("mainstreet", t, p, 3) for t, p in zip(towns, posts)] + [("mainstrete", towns[5], posts[5], 1), ("mainstreet", "", "", 1)]
+    df = spark.createDataFrame(rows, "street string, town string, post string, n long")
+    per_key = df.select(F.explode(F.array_distinct(street_keys("street", "town", "post", True))).alias("k")).groupBy("k").count()
+    assert per_key.agg(F.sum(F.col("count") * F.col("count"))).first()[0] < 100 * 22 * len(rows)
+    entries = gazetteer(df).cache()
+    centers = {(r["street"], r["town"]): r["center"] for r in entries.collect()}
+    assert len(set(centers.values())) == len(towns) and centers["mainstrete", towns[5]] == centers["mainstreet", towns[5]]
+    found = {(r["street"], r["town"]): r["street_id"] for r in resolve(df, entries).collect()}
+    assert found["mainstrete", towns[5]] == found["mainstreet", towns[5]] and found["mainstreet", ""].startswith("own|")
+    assert len(set(found.values())) == len(towns) + 1
+
+
+def test_drawing_goes_on_to_the_end(spark):
+    """Spellings that are drawn one to the next all have the last one's identifier."""
+    from weftlink.llm.addresses import gazetteer
+
+    chain = ["abcdefghijklmnopqrst", "abcdefghijklmnopqr", "abcdefghijklmnop", "abcdefghijklmn", "abcdefghijkl", "abcdefghij"]
+    df = spark.createDataFrame([(s, "town", "10001", 10 - i) for i, s in enumerate(chain)], "street string, town string, post string, n long")
+    assert len({r["center"] for r in gazetteer(df).collect()}) == 1

@@ -4,7 +4,7 @@ A gazetteer is built from the data itself: addresses are parsed into street, tow
 number and unit; complete ones are counted as entries; spellings of a street within a locality
 (one postcode, or one town) are clustered around the most frequent, which gets the street
 identifier.  Every different (street, town, postcode) is then resolved by beam search over the
-entries that an index of postcodes and of street spellings offers: localities first, streets
+entries that an index of postcodes, and of street spellings within towns, offers: localities first, streets
 within the best of them next.  Records are joined on street identifier and number; the unit
 is a column of its own.
 """
@@ -124,21 +124,21 @@ def parsed(df: DataFrame, id_col: str, address_col: str, country_col: str | None
     rows = df.select(
         F.col(id_col).cast("string").alias("id"),
         F.col(address_col).cast("string").alias("address"),
-        (F.lower(F.trim(F.col(country_col))) if country_col else F.lit("")).alias("country"),
+        (F.coalesce(F.lower(F.trim(F.col(country_col))), F.lit("")) if country_col else F.lit("")).alias("country"),
     ).filter("id IS NOT NULL AND trim(address) <> ''")
     labels = frozenset()
     if country_col:
-        # the most frequent labels only: the list is a vocabulary, not data that grows
+        # an address can end in another record's label; a row's own is known in any case
         top = rows.filter("country <> ''").groupBy("country").count().orderBy(F.col("count").desc(), "country").limit(200).collect()
         labels = frozenset(fold(r["country"]) for r in top)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [parse(a, "", labels) for a in pdf["address"]]
-            yield pd.concat([pdf[["address"]].reset_index(drop=True), pd.DataFrame(got, columns=["street", "town", "post", "number", "unit"])], axis=1)
+            got = [parse(a, c, labels) for a, c in zip(pdf["address"], pdf["country"])]
+            yield pd.concat([pdf[["address", "country"]].reset_index(drop=True), pd.DataFrame(got, columns=["street", "town", "post", "number", "unit"])], axis=1)
 
-    once = rows.select("address").distinct().mapInPandas(run, "address string, " + _PARSED)
-    return rows.select("id", "address").join(once.hint("merge"), "address")
+    once = rows.select("address", "country").distinct().mapInPandas(run, "address string, country string, " + _PARSED)
+    return rows.join(once.hint("merge"), ["address", "country"]).drop("country")
 
 
 def _near(a: str, b: str) -> int:
@@ -210,64 +210,87 @@ def _spellings(col: str) -> Column:
     return F.when(F.length(col) >= 5, F.array_distinct(F.concat(F.array(F.col(col)), gone))).otherwise(F.array(F.col(col)))
 
 
+def _near_enough(a: str, b: str) -> Column:
+    """A cheap test that every pair of spellings ``_near`` accepts passes."""
+    least = F.least(F.length(a), F.length(b))
+    most = F.when(least < 4, 0).when(least < 6, 1).when(least < 12, 2).otherwise(3)
+    # spellings that only sound alike can differ by more letters
+    return F.levenshtein(a, b) <= 2 * most + 2
+
+
+def _towns(town: str) -> Column:
+    """Coarse forms of a town that survive an error or an abbreviation: its start and its end."""
+    return F.array_distinct(F.array(F.concat(F.lit("<"), F.left(town, F.lit(3))), F.concat(F.lit(">"), F.right(town, F.lit(3)))))
+
+
+def street_keys(street: str, town: str, post: str, ends: bool) -> Column:
+    """Keys under which near streets of near localities meet; every key holds a locality.
+
+    In one postcode: any street, or with ``ends`` those of one start or end.  In towns of one start or end: streets
+    of the same letters but for one.
+    """
+    none = F.array().cast("array<bigint>")
+    if ends:
+        inside = F.array(F.xxhash64(F.lit("p"), post, F.lit("<"), F.left(street, F.lit(3))), F.xxhash64(F.lit("p"), post, F.lit(">"), F.right(street, F.lit(3))))
+    else:
+        inside = F.array(F.xxhash64(F.lit("p"), post))
+    near = F.flatten(F.transform(_towns(town), lambda t: F.transform(_spellings(street), lambda s: F.xxhash64(F.lit("t"), t, s))))
+    return F.concat(F.when(F.col(post) != "", inside).otherwise(none), F.when(F.col(town) != "", near).otherwise(none))
+
+
 def gazetteer(phrases: DataFrame) -> DataFrame:
     """``phrases(street, town, post, n)`` -> entries (entry_id, street, town, post, n, center).
 
-    A spelling is drawn to the most frequent entry of its postcode, or of its town, that is
-    near in street and locality; ``center`` is that entry, the entry itself where there is none.
+    A spelling is drawn to the most frequent entry near in street and locality, and on from there to the end;
+    ``center`` is that entry, the entry itself where there is none.
     """
     full = phrases.filter("length(street) >= 3 AND town <> '' AND post <> ''").select(
         F.sha1(F.concat_ws("|", "street", "town", "post")).alias("entry_id"), "street", "town", "post", "n"
     )
     full = cut(full)
-    other = full.select(*[F.col(c).alias(f"{c}_") for c in full.columns])
 
     @F.pandas_udf("double")
     def apart(s: pd.Series, s2: pd.Series, t: pd.Series, t2: pd.Series, p: pd.Series, p2: pd.Series) -> pd.Series:
         return pd.Series([0.7 * _near(a, b) + town_cost(c, d) + post_cost(e, f) for a, b, c, d, e, f in zip(s, s2, t, t2, p, p2)])
 
-    def keys(end: str) -> Column:
-        # near spellings share the postcode or the town, and the start or the end of the street; or all but one letter
-        ends = [F.concat(F.lit("<"), F.substring(f"street{end}", 1, 3)), F.concat(F.lit(">"), F.expr(f"right(street{end}, 3)"))]
-        some = F.array(*[F.concat(F.lit(c), F.col(f"{c}{end}"), e) for c in ("post", "town") for e in ends])
-        return F.explode(F.concat(some, _spellings(f"street{end}")))
-
     weaker = (F.col("n_") > F.col("n")) | ((F.col("n_") == F.col("n")) & (F.col("entry_id_") < F.col("entry_id")))
-    keyed, keyed_ = full.withColumn("k", keys("")), other.withColumn("k", keys("_"))
+    keyed = full.select("*", F.explode(F.array_distinct(street_keys("street", "town", "post", True))).alias("k"))
+    other = keyed.select("k", *[F.col(c).alias(f"{c}_") for c in full.columns])
     pairs = (
-        keyed.join(keyed_.hint("merge"), "k")
-        .filter(weaker & (F.levenshtein("street", "street_", 6) >= 0))
+        keyed.join(other.hint("merge"), "k")
+        .filter(weaker & _near_enough("street", "street_"))
         .drop("k")
         .dropDuplicates(["entry_id", "entry_id_"])
         .withColumn("apart", apart("street", "street_", "town", "town_", "post", "post_"))
         .filter("apart <= 2.9")
     )
     drawn = pairs.groupBy("entry_id").agg(F.max(F.struct("n_", F.col("entry_id_").alias("c"))).c.alias("to"))
-    once = full.join(drawn.hint("merge"), "entry_id", "left").withColumn("to", F.coalesce("to", "entry_id")).select("entry_id", "street", "town", "post", "n", "to")
-    # what it is drawn to may itself be drawn further
-    hop = once.select(F.col("entry_id").alias("to"), F.col("to").alias("to2"))
-    twice = once.join(hop, "to").select("entry_id", "street", "town", "post", "n", F.col("to2").alias("to"))
-    return twice.join(hop, "to").select("entry_id", "street", "town", "post", "n", F.col("to2").alias("center"))
+    ends = cut(full.select("entry_id").join(drawn.hint("merge"), "entry_id", "left").select("entry_id", F.coalesce("to", "entry_id").alias("to"), F.col("to").isNotNull().alias("moved")))
+    # every round doubles the steps; no step leads back, as each goes to a more frequent entry or an earlier one of the same count
+    while ends.filter("moved").limit(1).count():
+        hop = ends.select(F.col("entry_id").alias("to"), F.col("to").alias("to2"))
+        ends = cut(ends.join(hop.hint("merge"), "to").select("entry_id", F.col("to2").alias("to"), (F.col("to") != F.col("to2")).alias("moved")))
+    return full.join(ends.select("entry_id", F.col("to").alias("center")).hint("merge"), "entry_id")
 
 
 def resolve(phrases: DataFrame, entries: DataFrame) -> DataFrame:
-    """(street, town, post, street_id): every phrase's gazetteer street, or a name of its own."""
+    """(street, town, post, street_id): every phrase's gazetteer street, or a name of its own.
+
+    A phrase is offered the entries of its postcode, and those near in street of towns that start or end as its own;
+    one with neither is offered an entry only if no other locality has a street of that spelling.  What
+    one phrase is offered is bounded by the streets of a postcode and of like-named towns, not by the number of records.
+    """
     centers = entries.filter("entry_id = center").select("entry_id", F.col("street").alias("s"), F.col("town").alias("t"), F.col("post").alias("p"), "n")
-    offered = centers.select(
-        F.explode(F.concat(F.array(F.concat(F.lit("p"), "p")), F.transform(_spellings("s"), lambda x: F.concat(F.lit("s"), x)))).alias("k"),
-        F.struct("entry_id", "s", "t", "p", "n").alias("e"),
-    )
+    e = F.struct("entry_id", "s", "t", "p", "n").alias("e")
+    offered = centers.select(F.explode(F.array_distinct(street_keys("s", "t", "p", False))).alias("k"), e)
     asked = phrases.filter("length(street) >= 3").select("street", "town", "post")
-    keys = asked.select(
-        "street", "town", "post",
-        F.explode(F.concat(F.when(F.col("post") != "", F.array(F.concat(F.lit("p"), "post"))).otherwise(F.array().cast("array<string>")), F.transform(_spellings("street"), lambda x: F.concat(F.lit("s"), x)))).alias("k"),
-    )
-    found = (
-        keys.join(offered.hint("merge"), "k")
-        .filter(F.levenshtein("street", "e.s", 6) >= 0)
-        .groupBy("street", "town", "post")
-        .agg(F.collect_set("e").alias("found"))
-    )
+    keys = asked.select("street", "town", "post", F.explode(F.array_distinct(street_keys("street", "town", "post", False))).alias("k"))
+    met = keys.join(offered.hint("merge"), "k").filter(_near_enough("street", "e.s")).select("street", "town", "post", "e")
+    spelled = centers.select(F.explode(_spellings("s")).alias("k"), e)
+    only = spelled.groupBy("k").agg(F.min("e").alias("e"), F.min(F.struct("e.t", "e.p")).alias("low"), F.max(F.struct("e.t", "e.p")).alias("high")).filter("low = high").select("k", "e")
+    lone = asked.filter("town = '' AND post = ''").select("street", "town", "post", F.explode(_spellings("street")).alias("k"))
+    unplaced = lone.join(only.hint("merge"), "k").filter(_near_enough("street", "e.s")).select("street", "town", "post", "e")
+    found = met.unionByName(unplaced).groupBy("street", "town", "post").agg(F.collect_set("e").alias("found"))
 
     @F.pandas_udf("string")
     def pick(street: pd.Series, town: pd.Series, post: pd.Series, found: pd.Series) -> pd.Series:
@@ -275,8 +298,12 @@ def resolve(phrases: DataFrame, entries: DataFrame) -> DataFrame:
 
     picked = found.select("street", "town", "post", pick("street", "town", "post", "found").alias("entry_id"))
     own = F.concat_ws("|", F.lit("own"), "street", F.when(F.col("post") != "", F.col("post")).otherwise(F.col("town")))
-    return phrases.select("street", "town", "post").join(picked.hint("merge"), ["street", "town", "post"], "left").select(
-        "street", "town", "post", F.coalesce("entry_id", own).alias("street_id")
+    known = entries.select("street", "town", "post", "center")
+    return (
+        phrases.select("street", "town", "post")
+        .join(picked.hint("merge"), ["street", "town", "post"], "left")
+        .join(known.hint("merge"), ["street", "town", "post"], "left")
+        .select("street", "town", "post", F.coalesce("entry_id", "center", own).alias("street_id"))
     )
 
 
