@@ -89,7 +89,7 @@ def passes() -> list[list[Rule]]:
     part = _each(c("parts"), c("building"))
     word = F.transform(c("common"), lambda w: _both(w, c("building")))
     # errors that swap letters leave the letters as they are; others leave all but one
-    sorted_letters = F.when(F.length("core") >= 6, F.array_join(F.array_sort(F.split("core", "")), ""))
+    sorted_letters = F.when(F.length("core") >= 6, F.array_join(F.sort_array(F.split("core", "")), ""))
     gone = F.expr(
         "flatten(transform(filter(parts, p -> length(p) >= 5), p -> concat(array(p), "
         "transform(sequence(1, length(p)), i -> concat(substring(p, 1, i - 1), substring(p, i + 1))))))"
@@ -217,5 +217,5 @@ def _precision(found: DataFrame, judged: DataFrame, right: DataFrame, prior: flo
 def latest_labels(labels: DataFrame, id_col: str, ids_col: str, at_col: str) -> DataFrame:
     """(id, ids): the list of each id's latest row; NULL or empty lists become empty arrays."""
     ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce(F.col(ids_col), F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != ""))
-    rows = labels.select(F.col(id_col).alias("id"), F.coalesce(F.col(at_col).cast("timestamp"), F.lit("1900-01-01").cast("timestamp")).alias("at"), F.array_sort(ids).alias("ids"))
+    rows = labels.select(F.col(id_col).alias("id"), F.coalesce(F.col(at_col).cast("timestamp"), F.lit("1900-01-01").cast("timestamp")).alias("at"), F.sort_array(ids).alias("ids"))
     return rows.filter("id IS NOT NULL").groupBy("id").agg(F.max(F.struct("at", "ids")).ids.alias("ids"))

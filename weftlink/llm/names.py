@@ -37,10 +37,9 @@ NICKNAMES = {
 }
 _NICK = {v.replace("y", "i"): k.replace("y", "i") for k, vs in NICKNAMES.items() for v in vs.split()}
 ABBREVIATIONS = {
-    "bakeries": "bkry bakery bakries", "jewellers": "jwlrs jewelers jwl", "plastics": "plstcs plastic", "furniture": "furn", "engineering": "eng engg engrg engr",
-    "manufacturing": "mfg manuf mfrs", "distributors": "dist distrib distr", "brothers": "bros bro", "laboratories": "labs lab", "national": "natl nat",
-    "international": "intl int internat", "services": "svcs svc serv service", "tyres": "tyre tires tire", "printworks": "printing", "industries": "inds ind",
-    "association": "assn assoc", "department": "dept", "group": "grp", "enterprises": "ent", "marketing": "mktg", "technologies": "tech", "systems": "sys",
+    "engineering": "eng engg", "manufacturing": "mfg", "distributors": "dist", "brothers": "bros", "laboratories": "labs lab", "national": "natl",
+    "international": "intl", "services": "svcs svc service", "industries": "inds ind", "association": "assn assoc", "department": "dept", "group": "grp",
+    "enterprises": "ent", "marketing": "mktg", "technologies": "tech", "systems": "sys",
 }
 _ABBREVIATED = {v.replace("y", "i"): k.replace("y", "i") for k, vs in ABBREVIATIONS.items() for v in vs.split()}
 _DROPPED = {w.replace("y", "i") for w in LEGAL | CONNECTIVES}
@@ -86,12 +85,13 @@ def words_of(name: str) -> list[str]:
 
 
 def short_for(a: str, b: str) -> bool:
-    """Whether ``a`` abbreviates ``b``: its start, or its first letter and then some of its letters in order without vowels."""
+    """Whether ``a`` abbreviates ``b``: its start, or its first letter and then some of its letters in order without vowels
+    (a last one aside)."""
     if len(a) < 4 or len(a) >= len(b) - 1 or a[0] != b[0]:
         return False
     if b.startswith(a):
         return True
-    if any(c in "aeiou" for c in a[1:]):
+    if any(c in "aeiou" for c in a[1:-1]):
         return False
     rest = iter(b)
     return all(c in rest for c in a)
@@ -102,7 +102,7 @@ def _edits(word: str) -> int:
 
 
 class Lexicon:
-    """The words that very many names use."""
+    """The words that very many names use, the most frequent first."""
 
     def __init__(self, common: list[str]):
         self.common = set(common)
@@ -114,11 +114,18 @@ class Lexicon:
             for x in _shorter(w, 2 if len(w) >= 6 else 1) if len(w) >= 4 else (w,):
                 self.near.setdefault(x, []).append(w)
         self.kept: dict[str, str | None] = {}
+        # of a common word, its plural, and its abbreviation without vowels, all in use, one form stands for all
+        self.form = {w: max(f for f in (w + "s", w + "es") if f in self.common) for w in common if {w + "s", w + "es"} & self.common}
+        for w in common:
+            if 4 <= len(w) <= 6 and not any(c in "aeiou" for c in w[1:-1]):
+                longer = [c for c in self.by_first[w[0]] if len(c) >= 6 and short_for(w, c)]
+                if longer:
+                    self.form[w] = self.form.get(longer[0], longer[0])
 
     def known(self, word: str) -> str | None:
         """The common word that ``word`` is, misspells or abbreviates."""
         if word in self.common:
-            return word
+            return self.form.get(word, word)
         if word not in self.kept:
             if len(self.kept) > 200_000:
                 self.kept.clear()
@@ -126,10 +133,13 @@ class Lexicon:
             offered = {c for x in _shorter(word, most) for c in self.near.get(x, ())} if most and len(word) <= 24 else ()
             near = sorted((osa(word, c, most), c) for c in offered)
             hit = near[0][1] if near and near[0][0] <= most else None
-            if hit is None and len(word) <= 6:
-                longer = [c for c in self.by_first.get(word[0], ()) if len(c) >= 6 and short_for(word, c)]
-                hit = min(longer, default=None)
-            self.kept[word] = hit
+            if hit is None:
+                hit = next((f for f in (word + "s", word + "es") if len(word) >= 4 and f in self.common), None)
+            if hit is None and 4 <= len(word) <= 8:
+                # longer words abbreviate only what they begin
+                longer = [c for c in self.by_first.get(word[0], ()) if len(c) >= 6 and short_for(word, c) and (len(word) <= 6 or c.startswith(word))]
+                hit = longer[0] if longer else None
+            self.kept[word] = self.form.get(hit, hit)
         return self.kept[word]
 
     def split(self, words: list[str]) -> tuple[list[str], list[str], list[str]]:
@@ -155,7 +165,7 @@ class Lexicon:
                 for c in self.long:
                     if len(w) - len(c) >= 3 and (w.endswith(c) or w.startswith(c)):
                         w = w[: -len(c)] if w.endswith(c) else w[len(c) :]
-                        common.append(c)
+                        common.append(self.form.get(c, c))
                         changed = len(w) >= 8
                         break
             core.append(w)
@@ -221,8 +231,8 @@ def analysed(df: DataFrame, name_col: str, floor: int = 25, share: float = 0.001
     """(name, core, arranged, common, initials) of every different non-blank name, checkpointed.
 
     A word is common if at least ``share`` of all names and at least ``floor`` names use it; there
-    can be no more than a few thousand such words, however many names there are.  Forenames and
-    trades that have nicknames and abbreviations here are common in any case.
+    can be no more of them than a name has words on average, by ``share``, however many names there are.
+    Forenames and trades that have nicknames and abbreviations here are common in any case.
     """
     names = df.select(F.col(name_col).cast("string").alias("name")).filter("trim(name) <> ''").distinct()
 
@@ -234,9 +244,9 @@ def analysed(df: DataFrame, name_col: str, floor: int = 25, share: float = 0.001
     n = worded.count()
     counts = worded.select(F.explode(F.array_distinct("words")).alias("w")).filter("length(w) >= 3").groupBy("w").count()
     least = max(floor, int(share * n))
-    found = counts.filter(F.col("count") >= least).orderBy(F.col("count").desc(), "w").limit(20_000).collect()
-    known = {*_ABBREVIATED.values(), *_NICK.values()}
-    shared = df.sparkSession.sparkContext.broadcast(sorted(known | {r["w"] for r in found}))
+    found = counts.filter(F.col("count") >= least).collect()  # at most (words a name) / share rows
+    often = {w: 0 for w in (*_ABBREVIATED.values(), *_NICK.values())} | {r["w"]: r["count"] for r in found}
+    shared = df.sparkSession.sparkContext.broadcast(sorted(often, key=lambda w: (-often[w], w)))
 
     def cores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(shared.value)
@@ -355,12 +365,12 @@ def _initialled(named: DataFrame) -> DataFrame:
     """Gives names with an initial for a word ("K. Halhal Toys") the class of the one organisation they can mean."""
     full = named.filter("size(parts) BETWEEN 2 AND 5 AND size(initials) = 0")
     short = named.filter("size(parts) BETWEEN 1 AND 4 AND size(initials) BETWEEN 1 AND 2 AND size(common) > 0")
-    rest = "array_sort(filter(parts, (x, j) -> j <> i))"
+    rest = "sort_array(filter(parts, (x, j) -> j <> i))"
     one = full.select(
         F.explode(F.expr(f"transform(sequence(0, size(parts) - 1), i -> concat(left(parts[i], 1), '|', array_join({rest}, ' ')))")).alias("k"),
         F.col("class_id").alias("full_class"), F.col("common").alias("full_common"),
     ).groupBy("k", "full_class").agg(F.array_distinct(F.flatten(F.collect_set("full_common"))).alias("full_common"))
-    asked = short.select("name", "common", F.concat(F.element_at("initials", 1), F.lit("|"), F.array_join(F.array_sort("parts"), " ")).alias("k"))
+    asked = short.select("name", "common", F.concat(F.element_at("initials", 1), F.lit("|"), F.array_join(F.sort_array("parts"), " ")).alias("k"))
     met = asked.join(one.hint("merge"), "k").filter(F.arrays_overlap("common", "full_common"))
     sure = met.groupBy("name").agg(F.min("full_class").alias("to"), F.countDistinct("full_class").alias("m")).filter("m = 1")
     return named.join(sure.select("name", "to").hint("merge"), "name", "left").select(
