@@ -67,67 +67,72 @@ def curve_keys(rows: DataFrame) -> DataFrame:
     return rows.withColumn("curve", key("v0", "v1", "v2"))
 
 
-def fill(items: Iterator[tuple[int, int, int]], capacity: int, open_most: int = 64) -> Iterator[tuple[int, int, int, int]]:
-    """(key, piece, size) in order -> (key, piece, size, container): best fit over the open containers.
+class Containers:
+    """Containers of one capacity that are filled in order by best fit.
 
-    With ``open_most`` open the fullest is closed before another is opened.
+    With ``open_most`` open the fullest is closed before another is opened, so nothing grows with the items.
     """
-    room: list[tuple[int, int]] = []
-    made = 0
-    for key, piece, size in items:
-        at = bisect_left(room, (size, -1))
-        if at < len(room):
-            left, number = room.pop(at)
+
+    def __init__(self, capacity: int, open_most: int = 64):
+        self.capacity, self.open_most = capacity, open_most
+        self.room: list[tuple[int, int]] = []
+        self.made = 0
+
+    def put(self, size: int) -> int:
+        """The number of the container that the item goes into."""
+        at = bisect_left(self.room, (size, -1))
+        if at < len(self.room):
+            left, number = self.room.pop(at)
         else:
-            if len(room) >= open_most:
-                room.pop(0)
-            left, number = capacity, made
-            made += 1
+            if len(self.room) >= self.open_most:
+                self.room.pop(0)
+            left, number = self.capacity, self.made
+            self.made += 1
         if left - size > 0:
-            insort(room, (left - size, number))
-        yield key, piece, size, number
+            insort(self.room, (left - size, number))
+        return number
 
 
-def pack(df: DataFrame, id_col: str, text_col: str, specs: DataFrame, tokenizer: str = TOKENIZER, range_tokens: int = 2_000_000) -> DataFrame:
+def pack(df: DataFrame, id_col: str, text_col: str, specs: DataFrame, tokenizer: str = TOKENIZER, range_tokens: int = 2_000_000, max_ranges: int = 4096) -> DataFrame:
     """(pack_id, pack_name, doc_id, piece_no, n_pieces, tokens, container_id) for every capacity in ``specs``.
 
     ``specs(pack_id, pack_name, capacity_tokens)`` is a parameter table of a few rows; rows
     with a NULL or non-positive capacity are left out.  A NULL text has no container; '' is an
     item of size 0.  Rows that repeat an id are items of their own.  An empty table gives no rows.
-    A range holds about ``range_tokens`` tokens, so its unfinished containers weigh little.
+    A range holds about ``range_tokens`` tokens, so its unfinished containers weigh little; there are at most
+    ``max_ranges``, which hold more then.  A range is filled as it is read.
     """
     capacities = [(r["pack_id"], r["pack_name"], int(r["capacity_tokens"])) for r in specs.limit(1001).collect() if (r["capacity_tokens"] or 0) > 0]
     if len(capacities) > 1000:
         raise ValueError("more than 1,000 capacities")
     rows = cut(measured(df, id_col, text_col, tokenizer=tokenizer))
     total = rows.agg(F.sum("tokens").alias("t")).first()["t"] or 0
-    parts = max(1, math.ceil(total / range_tokens))
+    parts = min(max_ranges, max(1, math.ceil(total / range_tokens)))
     placed = curve_keys(rows).select("id", "tokens", "curve", F.xxhash64("id").alias("tie"))
     placed = placed.repartitionByRange(parts, "curve", "tie").sortWithinPartitions("curve", "tie", "id")
     id_type = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        whole = list(batches)
-        if not whole:
-            return
-        pdf = pd.concat(whole)
-        ids, sizes = pdf["id"].tolist(), pdf["tokens"].tolist()
-        tag = int(pdf["part"].iloc[0])
-        for pack_id, name, capacity in capacities:
-            # bound to this capacity: the generator is used up before the loop goes on
-            items = ((i, k, min(capacity, size - k * capacity)) for i, size in enumerate(sizes) for k in range(max(1, -(-size // capacity))))
-            out = list(fill(items, capacity))
-            yield pd.DataFrame(
-                {
-                    "pack_id": pack_id,
-                    "pack_name": name,
-                    "doc_id": [ids[i] for i, *_ in out],
-                    "piece_no": [k for _, k, *_ in out],
-                    "n_pieces": [max(1, -(-sizes[i] // capacity)) for i, *_ in out],
-                    "tokens": [s for *_, s, _ in out],
-                    "container_id": [f"{tag}-{c}" for *_, c in out],
-                }
-            )
+        filled = [Containers(capacity) for *_, capacity in capacities]
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            ids, sizes = pdf["id"].tolist(), pdf["tokens"].tolist()
+            tag = int(pdf["part"].iloc[0])
+            for (pack_id, name, capacity), containers in zip(capacities, filled):
+                pieces = [max(1, -(-size // capacity)) for size in sizes]
+                out = [(i, k, min(capacity, size - k * capacity)) for i, size in enumerate(sizes) for k in range(pieces[i])]
+                yield pd.DataFrame(
+                    {
+                        "pack_id": pack_id,
+                        "pack_name": name,
+                        "doc_id": [ids[i] for i, *_ in out],
+                        "piece_no": [k for _, k, _ in out],
+                        "n_pieces": [pieces[i] for i, *_ in out],
+                        "tokens": [s for *_, s in out],
+                        "container_id": [f"{tag}-{containers.put(s)}" for *_, s in out],
+                    }
+                )
 
     return placed.withColumn("part", F.spark_partition_id()).mapInPandas(
         run, f"pack_id int, pack_name string, doc_id {id_type}, piece_no int, n_pieces int, tokens bigint, container_id string"
