@@ -105,3 +105,21 @@ def test_hashing_embedding(spark):
 def test_cosine(spark):
     row = spark.sql("SELECT array(1f, 0f) a, array(1f, 1f) b, array(0f, 0f) z").select(cosine(F.col("a"), F.col("b")).alias("c"), cosine(F.col("a"), F.col("z")).alias("z")).first()
     assert row["c"] == pytest.approx(2**-0.5) and row["z"] == 0
+
+
+def test_fuzzy_of_batches_is_that_of_single_pairs():
+    from hypothesis import given
+    from hypothesis import strategies as st
+
+    texts = st.lists(st.tuples(*[st.text("ab é漢 ", max_size=12) | st.text("abc ", min_size=60, max_size=70)] * 4), max_size=5)
+
+    @given(texts)
+    def check(rows):
+        a, b, c, d = ([r[i] for r in rows] for i in range(4))
+        got = fuzzy.scores(a, b, c, d)
+        assert got["partial"].tolist() == [fuzzy.partial(x, y) for x, y in zip(a, b)]
+        assert got["token_sort"].tolist() == [fuzzy.token_sort(x, y) for x, y in zip(a, b)]
+        assert got["token_set"].tolist() == [1.0 if x == y != "" else fuzzy.token_set(x, y) for x, y in zip(a, b)]
+        assert got["addr_token_set"].tolist() == [fuzzy.token_set(x, y) for x, y in zip(c, d)]
+
+    check()
