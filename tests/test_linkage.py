@@ -270,3 +270,46 @@ def test_matcher_queries_train_on_the_whole_job(spark, monkeypatch):
     assert fitted.count() == rows.count() + extra.filter("NOT validation").count()
     Q.cold_country_threshold(spark, "/root/testdata/sf0.01")
     assert colds == [(extra.count(), Q.Config())]
+
+
+def test_pairs_meet_in_blocks(spark, records, monkeypatch):
+    """Blocks give what joins of whole arrays give: repeated pairs, pairs without a record, and several records of one id included."""
+    from weftlink.operators import features, pairs, tfidf
+
+    again = spark.createDataFrame([("S2-1", "Apéx Star", "12 Main Rd 2", "India")], "entity_id string, business_name string, business_address string, country string")
+    records = records.unionByName(S.normalised(again))
+    found = [(a, b, s) for a in ("S1-1", "S1-2", "S1-3", "S1-9") for b in ("S2-1", "S2-2", "S3-1", "S3-2", "S3-9") for s in (0.25, 0.5)]
+    stored = spark.createDataFrame(found, "s1_id string, cand_id string, name_cos double")
+    once = stored.groupBy("s1_id", "cand_id").agg(F.max("name_cos").alias("name_cos")).withColumn("cand_source", S.source_number(F.col("cand_id")))
+    index = {"addr_cos": ("norm_addr", tfidf.vocabulary(records, "norm_addr", 3, 4, min_df=1)), "squish_cos": ("name_squish", tfidf.vocabulary(records, "name_squish", 4, 5, False, min_df=1))}
+    plain = features.fuzzy_features(features.native_features(features.attach(once, records)))
+    kept = ["s1_id", "cand_id", *[f for f in FEATURES if f not in ("addr_cos", "squish_cos", "embed_cos")]]
+    want = sorted(plain.select(kept).collect())
+    assert len(want) == 15
+    cosines = tfidf.paired_cosines(once, {k: text_vectors(records, c, *n, within_words=w, min_df=1) for k, c, n, w in (("addr_cos", "norm_addr", (3, 4), True), ("squish_cos", "name_squish", (4, 5), False))})
+    cosines = {(r["s1_id"], r["cand_id"]): (r["addr_cos"], r["squish_cos"]) for r in cosines.collect()}
+    for size in (600_000, 1):
+        monkeypatch.setattr(pairs, "PAIRS", size)
+        met = features.attached_with_cosines(stored, records, index, best="name_cos").withColumn("cand_source", S.source_number(F.col("cand_id")))
+        got = features.native_features(met).drop("embed_cos")
+        also = features.pair_similarities(stored, records.select("entity_id", "core_name", "norm_addr"), best="name_cos").select("s1_id", "cand_id", *[f for f in FEATURES if f.startswith("rf_")]).collect()
+        assert sorted(also) == sorted(plain.select("s1_id", "cand_id", *[f for f in FEATURES if f.startswith("rf_")]).collect())
+        native = [c for c in kept if not c.startswith("rf_")]
+        assert sorted(got.select(native).collect()) == sorted(plain.select(native).collect())
+        assert {(r["s1_id"], r["cand_id"]): (r["addr_cos"], r["squish_cos"]) for r in got.collect() if r["cand_id"] != "S2-1"} == {k: v for k, v in cosines.items() if k in {(r[0], r[1]) for r in want} and k[1] != "S2-1"}
+
+
+def test_grams_of_batches_are_those_of_single_texts(records):
+    from weftlink.operators import tfidf
+
+    texts = ["ab  cde", "", "a", "é ab\0c", "abcdefgh"]
+    for some in (texts, texts[:3] + texts[4:]):
+        for low, high, within in ((1, 3, True), (3, 4, True), (3, 9, True), (2, 3, False)):
+            rows, codes, _ = tfidf._occurrences(some, low, high, within)
+            assert sorted(zip(rows.tolist(), codes.tolist())) == sorted((i, tfidf._code(p)) for i, t in enumerate(some) for p in tfidf._pieces(t, low, high, within))
+    # records of one id count their grams together, as the long rows do
+    twice = records.unionByName(records.filter("entity_id = 'S1-1'").withColumn("core_name", F.lit("apex apex apex")))
+    for rows in (records, twice):
+        known = tfidf.vocabulary(rows, "core_name", 3, 4, min_df=1)
+        want = tfidf.text_grams(rows, "core_name", 3, 4, min_df=1)[1].count()
+        assert len(known.codes) == want

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from weftlink.config import Config
 from weftlink.operators.blocks import best_in_blocks, ranked
 from weftlink.operators.encoders import Encoder, load_encoder
-from weftlink.operators.tfidf import paired_cosine, text_vectors, text_weights, top_k
+from weftlink.operators.tfidf import Vocabulary, paired_cosine, text_vectors, text_weights, top_k, vocabulary
 from weftlink.session import Keep, cut, written
 from weftlink.sources.records import source_number
 
@@ -160,6 +160,14 @@ def squish_vectors(records: DataFrame, cfg: Config) -> DataFrame:
     return text_vectors(records, "name_squish", *cfg.squish_grams, within_words=False, **_caps(cfg))
 
 
+def text_indexes(records: DataFrame, cfg: Config) -> dict[str, tuple[str, Vocabulary]]:
+    """(text column, vocabulary) of the cosines of addresses and of squished names."""
+    return {
+        "addr_cos": ("norm_addr", vocabulary(records, "norm_addr", *cfg.addr_grams, **_caps(cfg))),
+        "squish_cos": ("name_squish", vocabulary(records, "name_squish", *cfg.squish_grams, within_words=False, **_caps(cfg))),
+    }
+
+
 def embedding_vectors(records: DataFrame, cfg: Config, encoder: Encoder | None = None) -> DataFrame:
     """(entity_id, source, country_key, grams, w): the encoder's vector of every core name, a dimension as a gram."""
     encoder = encoder or load_encoder(cfg)

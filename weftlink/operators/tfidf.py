@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -43,7 +42,12 @@ def char_grams(df: DataFrame, id_cols: list[str], text_col: str, low: int, high:
 
 def gram_statistics(grams: DataFrame, n_records: int, min_df: int = 2, max_df: int = 12_000, max_features: int = 400_000) -> DataFrame:
     """(gram, df, total, idf) of the grams kept: by document frequency, then the most frequent ones (ties by gram)."""
-    stats = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).filter(F.col("df").between(min_df, max_df))
+    return kept_grams(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")), n_records, min_df, max_df, max_features)
+
+
+def kept_grams(counted: DataFrame, n_records: int, min_df: int = 2, max_df: int = 12_000, max_features: int = 400_000) -> DataFrame:
+    """``gram_statistics`` from (gram, df, total) of all grams."""
+    stats = counted.filter(F.col("df").between(min_df, max_df))
     # the limit is the vocabulary size, a feature of the index
     kept = stats.orderBy(F.col("total").desc(), "gram").limit(max_features)
     return kept.withColumn("idf", F.log((1 + F.lit(n_records)) / (1 + F.col("df"))) + 1)
@@ -84,42 +88,149 @@ def _pieces(text: str, low: int, high: int, within_words: bool) -> list[str]:
     return [w[i : i + n] for w in words for n in range(low, min(high, max(low, len(w))) + 1) for i in range(max(len(w) - n, 0) + 1)]
 
 
+def _code(gram: str) -> int:
+    """One number a gram: its bytes, or where these are too many a hash below 0."""
+    if gram.isascii() and len(gram) <= 7 and "\0" not in gram:
+        return int.from_bytes(gram.encode(), "little")
+    return -1 - (xxhash.xxh64_intdigest(gram) >> 2)
+
+
+def _occurrences(texts: list[str], low: int, high: int, within_words: bool) -> tuple[np.ndarray, np.ndarray, dict[int, str]]:
+    """(row, code) of every gram of ``_pieces`` of every text, and the grams whose codes are hashes."""
+    if within_words:
+        # every word between two blanks of its own
+        texts = [f" {t} ".replace(" ", "  ")[1:-1] if t else "" for t in (" ".join(t.split()) for t in texts)]
+    whole = "".join(texts)
+    if not whole.isascii() or "\0" in whole or high > 7:
+        hashed: dict[int, str] = {}
+        rows, codes = [], []
+        for i, t in enumerate(texts):
+            for p in _pieces(t, low, high, within_words):
+                rows.append(i)
+                codes.append(c := _code(p))
+                if c < 0:
+                    hashed[c] = p
+        return np.array(rows, np.int64), np.array(codes, np.int64), hashed
+    letters = np.frombuffer(whole.encode(), np.uint8).astype(np.int64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    row = np.repeat(np.arange(len(texts)), sizes)
+    if within_words:
+        blank = np.append(letters == 32, True)
+        start = np.flatnonzero(blank[:-1] & ~blank[1:])
+        lens = np.flatnonzero(blank[1:-1] & ~blank[:-2]) + 2 - start if len(letters) else start
+    else:
+        lens = sizes[sizes >= low]
+        start = (np.cumsum(sizes) - sizes)[sizes >= low]
+    left = np.zeros(len(letters), np.int64)
+    inside = np.repeat(start, lens) + (at := np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens))
+    left[inside] = np.repeat(lens, lens) - at
+    out_rows, out_codes = [], []
+    code = np.zeros(len(letters), np.int64)
+    for n in range(1, high + 1):
+        code[: max(0, len(letters) - n + 1)] |= letters[n - 1 :] << (8 * (n - 1))
+        # a word shorter than all grams is one itself
+        here = np.flatnonzero(left >= n) if n >= low else start[lens == n]
+        out_rows.append(row[here])
+        out_codes.append(code[here])
+    return np.concatenate(out_rows), np.concatenate(out_codes), {}
+
+
+def _counted(texts: DataFrame, text_col: str, low: int, high: int, within_words: bool) -> DataFrame:
+    """(gram, df, total) of each part of the records, every record counted as one."""
+
+    def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return codes, *(np.bincount(at, np.concatenate([p[i] for p in parts]), len(codes)).astype(np.int64) for i in (1, 2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, names = [], {}
+        for b in batches:
+            rows, codes, hashed = _occurrences(pc.fill_null(b[text_col], "").to_pylist(), low, high, within_words)
+            names |= hashed
+            known, at = np.unique(codes, return_inverse=True)
+            once = np.unique(rows * max(1, len(known)) + at) % max(1, len(known))
+            parts.append((known, np.bincount(once, minlength=len(known)), np.bincount(at, minlength=len(known))))
+            if sum(len(p[0]) for p in parts) > 2_000_000:
+                parts = [summed(parts)]
+        if not parts:
+            return
+        codes, df, total = summed(parts)
+        for i in range(0, len(codes), 100_000):
+            some = codes[i : i + 100_000]
+            # names of codes above 0 are their bytes
+            text = [names[c] if c < 0 else x.decode() for c, x in zip(some.tolist(), some.astype("<i8").view("S8").tolist())]
+            yield pa.record_batch([pa.array(text, pa.string()), pa.array(df[i : i + 100_000]), pa.array(total[i : i + 100_000])], ["gram", "df", "total"])
+
+    return texts.select(text_col).mapInArrow(run, "gram string, df long, total long")
+
+
+class Vocabulary:
+    """The grams of an index with their weights; turns texts into counts of them."""
+
+    def __init__(self, grams: list[str], idf: np.ndarray, low: int, high: int, within_words: bool):
+        hashes = np.array([xxhash.xxh64_intdigest(g, 42) & ((1 << CODE_BITS) - 1) for g in grams], np.int64)
+        order = np.argsort(hashes)
+        self.hashes, self.idf = hashes[order], np.asarray(idf, np.float64)[order]
+        codes = np.array([_code(grams[i]) for i in order], np.int64)
+        self.place = np.argsort(codes).astype(np.int64)
+        self.codes = codes[self.place]
+        self.kind = low, high, within_words
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start of each text and the end, places of its grams in order, how often each is there)."""
+        rows, codes, _ = _occurrences(texts, *self.kind)
+        if not len(codes) or not len(self.codes):
+            return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.searchsorted(self.codes, codes)
+        at[at == len(self.codes)] = 0
+        hit = self.codes[at] == codes
+        key = rows[hit] * len(self.codes) + self.place[at[hit]]
+        key, tf = np.unique(key, return_counts=True)
+        row, place = np.divmod(key, len(self.codes))
+        return np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))]), place, tf
+
+    def weights(self, starts: np.ndarray, places: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        """tf x idf, unit length a text."""
+        x = tf * self.idf[places]
+        row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        return x / np.sqrt(np.bincount(row, x * x, len(starts) - 1))[row]
+
+
+def vocabulary(records: DataFrame, text_col: str, low: int, high: int, within_words: bool = True, **caps: int) -> Vocabulary:
+    """The vocabulary of one text column over all records; at most ``max_features`` grams come to the driver.
+
+    Grams are counted part by part, and only the counts are shuffled, unless several records have one id, whose
+    grams count together.
+    """
+    n, ids = records.agg(F.count(F.lit(1)), F.count_distinct("entity_id")).first()
+    if n == ids:
+        counted = _counted(records, text_col, low, high, within_words).groupBy("gram").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+        statistics = kept_grams(counted, n, **caps)
+    else:
+        statistics = text_grams(records, text_col, low, high, within_words, n, **caps)[1]
+    known = statistics.select("gram", "idf").toArrow()
+    return Vocabulary(known["gram"].to_pylist(), known["idf"].to_numpy(), low, high, within_words)
+
+
 def text_vectors(records: DataFrame, text_col: str, low: int, high: int, within_words: bool = True, **caps: int) -> DataFrame:
     """(entity_id, source, country_key, grams, w): the same weights as two arrays a record; write them before they are used twice.
 
     The vocabulary, bounded by ``max_features``, is shared with all workers, so no gram is shuffled again for its weight.
     """
-    _, statistics, ids = text_grams(records, text_col, low, high, within_words, **caps)
-    known = statistics.select(gram_code(F.col("gram")).alias("g"), "idf").toArrow().sort_by("g")  # at most max_features rows
-    shared = records.sparkSession.sparkContext.broadcast((known["g"].to_numpy(), known["idf"].to_numpy()))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, idf = shared.value
-        # every gram is hashed and looked up once a worker
-        places: dict[str, int] = {}
-        for pdf in batches:
-            grams, weights = [], []
-            for text in pdf[text_col].fillna(""):
-                pieces = _pieces(text, low, high, within_words)
-                new = [p for p in pieces if p not in places]
-                if new:
-                    if len(places) > 1_000_000:
-                        places.clear()
-                        new = pieces
-                    h = np.array([xxhash.xxh64_intdigest(p, 42) & ((1 << CODE_BITS) - 1) for p in new], np.int64)
-                    at = np.minimum(np.searchsorted(codes, h), max(0, len(codes) - 1))
-                    places.update(zip(new, np.where(codes[at] == h, at, -1).tolist() if len(codes) else [-1] * len(new)))
-                found, tf = np.unique(np.array([places[p] for p in pieces], np.int64), return_counts=True)
-                tf, found = tf[found >= 0], found[found >= 0]
-                x = tf * idf[found]
-                grams.append(codes[found])
-                weights.append(x / np.sqrt((x * x).sum()) if len(x) else x)
-            some = np.array([len(g) > 0 for g in grams], bool)
-            out = pdf[ids].assign(grams=pd.Series(grams, pdf.index, object), w=pd.Series(weights, pdf.index, object))
-            yield out[some]
+    ids = ["entity_id", "source", "country_key"]
+    shared = records.sparkSession.sparkContext.broadcast(vocabulary(records, text_col, low, high, within_words, **caps))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for b in batches:
+            starts, places, tf = known.counts(pc.fill_null(b[text_col], "").to_pylist())
+            at = pa.array(starts, pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (known.hashes[places], known.weights(starts, places, tf))]
+            out = pa.record_batch([*[b[c] for c in ids], *lists], [*ids, "grams", "w"])
+            yield out.filter(pa.array(np.diff(starts) > 0))
 
     schema = "entity_id string, source int, country_key string, grams array<bigint>, w array<double>"
-    return records.select(*ids, text_col).mapInPandas(run, schema)
+    return records.select(*ids, text_col).mapInArrow(run, schema)
 
 
 def _flat(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -31,13 +31,17 @@ def _normal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.normalised(S.all_records(spark, sf_dir))
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s1_id, cand_id, cand_source, score): the best stored score of every candidate pair."""
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s1_id, cand_id, score): every stored score of every candidate pair."""
     t = table(spark, sf_dir, "candidate_pairs")
     z = F.arrays_zip(F.split("candidate_entity_ids", ",", -1).alias("i"), F.col("candidate_scores").alias("s"))
     rows = t.filter("candidate_entity_ids IS NOT NULL").select(F.col("source1_entity_id").alias("s1_id"), F.explode(z).alias("z"))
-    rows = rows.select("s1_id", F.trim("z.i").alias("cand_id"), F.col("z.s").alias("s")).filter("s IS NOT NULL AND (cand_id LIKE 'S2-%' OR cand_id LIKE 'S3-%')")
-    return rows.groupBy("s1_id", "cand_id").agg(F.max("s").alias("score")).select("s1_id", "cand_id", S.source_number(F.col("cand_id")).alias("cand_source"), "score")
+    return rows.select("s1_id", F.trim("z.i").alias("cand_id"), F.col("z.s").alias("score")).filter("score IS NOT NULL AND (cand_id LIKE 'S2-%' OR cand_id LIKE 'S3-%')")
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s1_id, cand_id, cand_source, score): the best stored score of every candidate pair."""
+    return _stored(spark, sf_dir).groupBy("s1_id", "cand_id").agg(F.max("score").alias("score")).select("s1_id", "cand_id", S.source_number(F.col("cand_id")).alias("cand_source"), "score")
 
 
 def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,16 +121,16 @@ def hashing_vectors(spark, sf_dir):
 
 
 def pair_features_native(spark, sf_dir):
-    normal = cut(_normal(spark, sf_dir))
-    pairs = _scored(spark, sf_dir).select("s1_id", "cand_id", "cand_source", F.col("score").alias("name_cos"))
-    pairs = tfidf.paired_cosines(pairs, {"addr_cos": B.address_vectors(normal, CFG), "squish_cos": B.squish_vectors(normal, CFG)})
-    out = P.native_features(P.attach(pairs, normal))
+    normal = cut(_normal(spark, sf_dir).select("entity_id", "source", "country_key", "core_name", "norm_addr", "postal"))
+    normal = normal.withColumn("name_squish", F.replace("core_name", F.lit(" "), F.lit("")))
+    met = P.attached_with_cosines(_stored(spark, sf_dir), normal, B.text_indexes(normal, CFG), best="score")
+    out = P.native_features(met.withColumn("cand_source", S.source_number(F.col("cand_id"))).withColumnRenamed("score", "name_cos"))
     names = [f for f in P.FEATURES if not f.startswith("rf_")]
     return out.select("s1_id", "cand_id", *[F.round(F.col(f).cast("double"), 6).alias(f) for f in names])
 
 
 def pair_features_fuzzy(spark, sf_dir):
-    out = P.fuzzy_features(P.attach(_scored(spark, sf_dir), _normal(spark, sf_dir)))
+    out = P.pair_similarities(_stored(spark, sf_dir), _normal(spark, sf_dir), best="score")
     return out.select("s1_id", "cand_id", *[F.round(f, 6).alias(f) for f in P.FEATURES if f.startswith("rf_")])
 
 
