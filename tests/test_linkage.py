@@ -313,3 +313,15 @@ def test_grams_of_batches_are_those_of_single_texts(records):
         known = tfidf.vocabulary(rows, "core_name", 3, 4, min_df=1)
         want = tfidf.text_grams(rows, "core_name", 3, 4, min_df=1)[1].count()
         assert len(known.codes) == want
+
+
+def test_candidates_by_texts_are_those_by_arrays(records, monkeypatch):
+    """Without vectors none is made or written: texts are met, with the pairs and cosines that arrays give."""
+    from weftlink.config import Config
+
+    cfg = Config(min_df=1, min_name_cosine=0.01, min_addr_cosine=0.01, min_squish_cosine=0.01)
+    want = sorted(B.candidates(records, cfg, B.record_vectors(records, cfg)).select("s1_id", "cand_id", "cand_source", "name_cos").collect())
+    monkeypatch.setattr(B, "record_vectors", None)
+    got = sorted(B.candidates(records, cfg).select("s1_id", "cand_id", "cand_source", "name_cos").collect())
+    assert len(got) >= 3 and [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
