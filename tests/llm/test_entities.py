@@ -199,3 +199,74 @@ def test_drawing_goes_on_to_the_end(spark):
     chain = ["abcdefghijklmnopqrst", "abcdefghijklmnopqr", "abcdefghijklmnop", "abcdefghijklmn", "abcdefghijkl", "abcdefghij"]
     df = spark.createDataFrame([(s, "town", "10001", 10 - i) for i, s in enumerate(chain)], "street string, town string, post string, n long")
     assert len({r["center"] for r in gazetteer(df).collect()}) == 1
+
+
+def _shuffled_rows(df):
+    """Rows that the plan of a frame that was run has written to shuffles."""
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        found = plan.metrics().get("shuffleRecordsWritten")
+        return (found.get().value() if found.isDefined() else 0) + sum(walk(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def _spellings_of(n, seed):
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(6, 24))) for _ in range(n)]
+    wrong = [c[:i] + rng.choice("abcdefgh") + c[i + 1 :] for c in base for i in [rng.randrange(len(c))]]
+    return [(c, [c], [f"w{i % 7}"] if i % 9 else []) for i, c in enumerate(sorted({*base, *wrong}))]
+
+
+def test_near_cores_shuffle_cores_not_keys(spark):
+    """A core goes to a few groups, not to one for each of its segments."""
+    rows = _spellings_of(400, 11)
+    df = spark.createDataFrame(rows, "core string, arranged array<string>, commons array<string>")
+    assert 0 < _shuffled_rows(names.near_cores(df)) < 12 * len(rows)
+
+
+def test_near_cores_in_parts(spark, monkeypatch):
+    """Parts of the groups that all cores meet, and small batches of pairs, change nothing."""
+    df = spark.createDataFrame(_spellings_of(150, 12), "core string, arranged array<string>, commons array<string>")
+    want = {(r["a"], r["b"]) for r in names.near_cores(df).collect()}
+    core = {r["core"]: set(r["commons"]) for r in df.collect()}
+    assert want and all(not core[a] or not core[b] or core[a] & core[b] for a, b in want)
+    monkeypatch.setattr(names, "_PART", 40)
+    assert {(r["a"], r["b"]) for r in names.near_cores(df).collect()} == want
+    few = [(c, [c]) for c in core if len(c) == 8]
+    whole = set(names._near_in(8, few, few))
+    monkeypatch.setattr(names, "_PAIRS", 3)
+    monkeypatch.setattr(names, "_CELLS", 64)
+    assert whole and set(names._near_in(8, few, few)) == whole
+
+
+def test_known_words_against_all_of_them():
+    rng = random.Random(13)
+    common = sorted({"".join(rng.choice("abcde") for _ in range(rng.randint(3, 10))) for _ in range(200)})
+    for w in ["".join(rng.choice("abcde") for _ in range(rng.randint(5, 10))) for _ in range(500)]:
+        most = names._edits(w)
+        near = sorted((osa(w, c, most), c) for c in common if len(c) >= 4)
+        if w not in common and near[0][0] <= most:
+            lexicon = names.Lexicon(common)
+            assert lexicon.known(w) == lexicon.form.get(near[0][1], near[0][1])
+
+
+@pytest.mark.parametrize("crowd", [32, 1, 0])
+def test_crowded_buildings_match_as_others(spark, monkeypatch, crowd):
+    """Whether a building's names are compared as they are or met by key, the same record wins."""
+    make = lambda rows: spark.createDataFrame(rows, "id string, name string, address string, country string")
+    at, by = "12 Robitaruk Marg, Kamita, BI 378797", "15 Robitaruk Marg, Kamita, BI 378797"
+    ours = make([("S1-1", "Alvorita Bruskanel", at, ""), ("S1-2", "Bruskanel Charmodil", at, ""), ("S1-3", "Gantovirel Dufenmi", by, ""), ("S1-4", None, by, ""), ("S1-5", "Bruskanel", None, "")])
+    theirs = make([("S2-1", "Charmodil Bruskanel Xemprovat", at, ""), ("S2-2", "Bruskannel Charmodill Zugrewitol", at, ""), ("S2-3", "Gantovirell Holmapetun", by, ""), ("S2-4", "Bruskanel Worpatemi", None, "")])
+    monkeypatch.setattr(matching, "_CROWD", crowd)
+    monkeypatch.setattr(matching, "_HOT", 1)
+    out = matching.cascade(ours, theirs, spark.createDataFrame([], "id string, ids array<string>"), least=0.3)
+    got = {r["target_id"]: (r["reference_id"], r["rule"]) for r in out.collect()}
+    spelled = "word within a letter, building"
+    assert got == {"S2-1": ("S1-2", "word of the name, building"), "S2-2": ("S1-2", spelled), "S2-3": ("S1-3", spelled)}

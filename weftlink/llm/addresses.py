@@ -37,6 +37,8 @@ _HASH = re.compile(r"#\s*(\d+[a-z]{0,2}|[a-z]\d+)\b")
 _POST = re.compile(r"(?<![\d])(\d{3}) (\d{3})(?!\d)|(?<!\d)(\d{5,6})(?!\d)")
 _HOUSE = re.compile(r"(?<![\da-z])(\d{1,4}[a-z]?)(?![\da-z])")
 _WORD = re.compile(r"[a-z]+\.?")
+_GLUED = re.compile(r"(?<=[a-z])(?=\d{5,6}\b)")
+_PARTS = re.compile(r"[,/]|\s-\s|-(?=\s*$)")
 _TAIL = re.compile(r"(?<=[a-z]{4})(?:strasse|straat|platz|plz|pl|laan|weg|wg|str|ln)$")
 
 
@@ -46,11 +48,13 @@ def parse(address: str, country: str = "", labels: frozenset[str] = frozenset())
     Street and town are their folded words without kinds of street.  A last part that is a
     country label is dropped.
     """
-    text = re.sub(r"\s+", " ", fold(address)).replace(";", ",").strip(" ,/")
+    text = " ".join(fold(address).split()).replace(";", ",").strip(" ,/")
     head, sep, last = text.rpartition(",") if "," in text else text.rpartition("/") if "/" in text else text.rpartition(" ")
-    if sep and last.strip(" .") and (last.strip(" .") == fold(country or "").strip() or last.strip(" .") in labels):
+    last = last.strip(" .")
+    if sep and last and (last in labels or last == fold(country or "").strip()):
         text = head
-    text = re.sub(r"\bc\.so\b", "corso", re.sub(r"\bc/", "calle ", text))
+    if "c/" in text or "c.so" in text:
+        text = re.sub(r"\bc\.so\b", "corso", re.sub(r"\bc/", "calle ", text))
     text = _NEAR.sub(" , ", text + " ")
     unit = ""
 
@@ -60,7 +64,7 @@ def parse(address: str, country: str = "", labels: frozenset[str] = frozenset())
         return " , "
 
     text = _UNIT.sub(take, text)
-    text = re.sub(r"(?<=[a-z])(?=\d{5,6}\b)", " ", text)
+    text = _GLUED.sub(" ", text)
     posts = list(_POST.finditer(text))
     post = ""
     if posts:
@@ -71,13 +75,14 @@ def parse(address: str, country: str = "", labels: frozenset[str] = frozenset())
         else:
             text = text[: m.start()] + " , " + text[m.end() :]
     text = _NUMBER_SIGN.sub("", text)
-    hashes = list(_HASH.finditer(text))
-    plain = _HOUSE.search(_HASH.sub(" ", text))
-    if hashes and (plain or not hashes[0][1][0].isdigit()):
-        unit = unit or hashes[0][1]
-        text = _HASH.sub(" , ", text)
-    text = text.replace("#", "")
-    parts = [p.strip(" .") for p in re.split(r"[,/]|\s-\s|-(?=\s*$)", text)]
+    if "#" in text:
+        hashes = list(_HASH.finditer(text))
+        plain = _HOUSE.search(_HASH.sub(" ", text))
+        if hashes and (plain or not hashes[0][1][0].isdigit()):
+            unit = unit or hashes[0][1]
+            text = _HASH.sub(" , ", text)
+        text = text.replace("#", "")
+    parts = [p.strip(" .") for p in _PARTS.split(text)]
     number, street, town, bare = "", [], [], False
     for part in filter(None, parts):
         house = None if number else _HOUSE.search(part)
@@ -204,6 +209,12 @@ def beam(street: str, town: str, post: str, entries: list, width: int = 12, most
     return best[0][2]
 
 
+def _apart(s: str, s2: str, t: str, t2: str, p: str, p2: str) -> float:
+    """The cost of a street in a locality for another; streets of localities too far apart are not compared."""
+    town, post = town_cost(t, t2), post_cost(p, p2)
+    return 3.0 if town >= 3.0 or post >= 3.0 else 0.7 * _near(s, s2) + town + post
+
+
 def _spellings(col: str) -> Column:
     """The string and, for five letters or more, all forms with one letter left out."""
     gone = F.expr(f"transform(sequence(1, length({col})), i -> concat(substring({col}, 1, i - 1), substring({col}, i + 1)))")
@@ -251,14 +262,21 @@ def gazetteer(phrases: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def apart(s: pd.Series, s2: pd.Series, t: pd.Series, t2: pd.Series, p: pd.Series, p2: pd.Series) -> pd.Series:
-        return pd.Series([0.7 * _near(a, b) + town_cost(c, d) + post_cost(e, f) for a, b, c, d, e, f in zip(s, s2, t, t2, p, p2)])
+        return pd.Series([_apart(*x) for x in zip(s, s2, t, t2, p, p2)])
 
     weaker = (F.col("n_") > F.col("n")) | ((F.col("n_") == F.col("n")) & (F.col("entry_id_") < F.col("entry_id")))
+    # `post_cost` lets no other postcodes pass
+    posts = (F.col("post") == F.col("post_")) | ((F.length("post") == F.length("post_")) & (F.levenshtein("post", "post_", 2) >= 0))
     keyed = full.select("*", F.explode(F.array_distinct(street_keys("street", "town", "post", True))).alias("k"))
+    keyed = keyed.repartition("k")  # written once for both sides
     other = keyed.select("k", *[F.col(c).alias(f"{c}_") for c in full.columns])
+    # of a pair in one postcode with one start or end, the rows under its other keys are left out
+    here = F.col("post") == F.col("post_")
+    first = F.when(here & (F.left("street", F.lit(3)) == F.left("street_", F.lit(3))), F.col("k") == F.xxhash64(F.lit("p"), "post", F.lit("<"), F.left("street", F.lit(3))))
+    first = first.when(here & (F.right("street", F.lit(3)) == F.right("street_", F.lit(3))), F.col("k") == F.xxhash64(F.lit("p"), "post", F.lit(">"), F.right("street", F.lit(3))))
     pairs = (
         keyed.join(other.hint("merge"), "k")
-        .filter(weaker & _near_enough("street", "street_"))
+        .filter(weaker & posts & first.otherwise(True) & _near_enough("street", "street_"))
         .drop("k")
         .dropDuplicates(["entry_id", "entry_id_"])
         .withColumn("apart", apart("street", "street_", "town", "town_", "post", "post_"))
@@ -285,7 +303,9 @@ def resolve(phrases: DataFrame, entries: DataFrame) -> DataFrame:
     offered = centers.select(F.explode(F.array_distinct(street_keys("s", "t", "p", False))).alias("k"), e)
     asked = phrases.filter("length(street) >= 3").select("street", "town", "post")
     keys = asked.select("street", "town", "post", F.explode(F.array_distinct(street_keys("street", "town", "post", False))).alias("k"))
-    met = keys.join(offered.hint("merge"), "k").filter(_near_enough("street", "e.s")).select("street", "town", "post", "e")
+    # of a pair in one postcode, the rows under its other keys are left out
+    once = F.when(F.col("post") == F.col("e.p"), F.col("k") == F.xxhash64(F.lit("p"), "post")).otherwise(True)
+    met = keys.join(offered.hint("merge"), "k").filter(once & _near_enough("street", "e.s")).select("street", "town", "post", "e")
     spelled = centers.select(F.explode(_spellings("s")).alias("k"), e)
     only = spelled.groupBy("k").agg(F.min("e").alias("e"), F.min(F.struct("e.t", "e.p")).alias("low"), F.max(F.struct("e.t", "e.p")).alias("high")).filter("low = high").select("k", "e")
     lone = asked.filter("town = '' AND post = ''").select("street", "town", "post", F.explode(_spellings("street")).alias("k"))

@@ -98,5 +98,19 @@ def osa(a: str, b: str, most: int) -> int:
     return min(last[lb], big)
 
 
+def bags(words: list[str]) -> np.ndarray:
+    """The letters of each word as bits: those it has, and those it has twice; some letters share a bit."""
+    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32) % 32
+    often = np.bincount(row * 32 + letters, minlength=32 * len(words)).reshape(-1, 32)
+    bits = np.concatenate([often > 0, often > 1], axis=1)
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).reshape(-1)
+
+
+def may_be_near(a: np.ndarray, b: np.ndarray, most: np.ndarray | int) -> np.ndarray:
+    """Whether words of these ``bags`` can be within so many edits: an edit takes at most one letter away, and adds at most one."""
+    return (np.bitwise_count(a & ~b) <= most) & (np.bitwise_count(b & ~a) <= most)
+
+
 def signed(value: int) -> int:
     return int(np.uint64(value).astype(np.int64))

@@ -3,45 +3,21 @@
 Every record gets attributes: its building (gazetteer), the class of its name (segment join) and
 weaker forms of both.  Rules join on ever weaker combinations of them, a few of like strength a pass; targets that a
 pass resolves are taken out before the next.  Where a record has one key, the join meets one row a key on the
-reference side; where pairs can share several, it meets one row for every different name in the building, and
-keys of very many such rows are salted.  A rule's confidence is its precision on the labelled records,
+reference side; where pairs can share several, a target is compared with every different name in its building. In
+buildings of very many names only those that share a key are met, and keys of very many such rows are salted.  A rule's confidence is its precision on the labelled records,
 smoothed; rules below the least confidence give no matches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftlink.llm.addresses import buildings
-from weftlink.llm.fold import fold
-from weftlink.llm.names import name_classes, words_of
+from weftlink.llm.names import name_classes
 from weftlink.session import cut
 
 
-def _letters(names: DataFrame) -> DataFrame:
-    """(name, plain, letters, acronym): words in order of the alphabet, sorted initials, and whether the name is one."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            every = [words_of(n) for n in pdf["name"]]
-            one = [len(w) == 1 and 2 <= len(w[0]) <= 5 and len(n.strip()) <= 30 for w, n in zip(every, pdf["name"])]
-            yield pd.DataFrame(
-                {
-                    "name": pdf["name"].to_numpy(),
-                    "plain": [" ".join(sorted(fold(n).split())) for n in pdf["name"]],
-                    "letters": ["".join(sorted(w[0] if o else "".join(x[0] for x in w))) for w, o in zip(every, one)],
-                    "head": [w[0][0] if o else "" for w, o in zip(every, one)],
-                    "acronym": one,
-                }
-            )
-
-    return names.mapInPandas(run, "name string, plain string, letters string, head string, acronym boolean")
-
-
 def described(sources: DataFrame) -> DataFrame:
     """``sources(id, name, address, country, side)`` with all attributes that rules use, one row an id, checkpointed.
 
@@ -49,12 +25,10 @@ def described(sources: DataFrame) -> DataFrame:
     """
     once = cut(sources.filter("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("side", "name", "address", "country")).alias("r")).select("id", "r.*"))
     at = buildings(once, "id", "address", "country").select("id", "building", "number", "street", "town", "post")
-    named = name_classes(once, "name").select("name", "class_id", "core", "parts", "common")
-    letters = _letters(once.select("name").filter("trim(name) <> ''").distinct())
+    named = name_classes(once, "name", forms=True).drop("initials")
     return cut(
         once.join(at.hint("merge"), "id", "left")
         .join(named.hint("merge"), "name", "left")
-        .join(letters.hint("merge"), "name", "left")
         .select(
             "id", "side", "class_id", "core", "parts", "common", "plain", "letters", "head", F.coalesce("acronym", F.lit(False)).alias("acronym"),
             "building", "number", "street", "town", "post", F.lower(F.regexp_replace("address", r"[\s,.]+", " ")).alias("line"),
@@ -70,9 +44,13 @@ def _both(*cols: Column) -> Column:
     return F.when(whole, F.concat_ws("\u0001", *[c.cast("string") for c in cols]))
 
 
-def _each(array: Column, *cols: Column) -> Column:
-    """A key for every word of at least four letters."""
-    return F.transform(F.filter(array, lambda w: F.length(w) >= 4), lambda w: _both(w, *cols))
+#: Words of which two records of one building can share several: those of at least four letters, and those of at least five
+#: with all forms that lack a letter.
+_WORDS = "filter(parts, w -> length(w) >= 4)"
+_SPELLED = (
+    "flatten(transform(filter(parts, p -> length(p) >= 5), p -> concat(array(p), "
+    "transform(sequence(1, length(p)), i -> concat(substring(p, 1, i - 1), substring(p, i + 1))))))"
+)
 
 
 Rule = tuple[str, Column, Column, Column, Column, bool]
@@ -86,15 +64,11 @@ def passes() -> list[list[Rule]]:
     no_address = c("building").isNull()
     no_name = c("class_id").isNull()
     one = lambda k: F.array(k)
-    part = _each(c("parts"), c("building"))
+    part = F.transform(F.expr(_WORDS), lambda w: _both(w, c("building")))
     word = F.transform(c("common"), lambda w: _both(w, c("building")))
     # errors that swap letters leave the letters as they are; others leave all but one
     sorted_letters = F.when(F.length("core") >= 6, F.array_join(F.sort_array(F.split("core", "")), ""))
-    gone = F.expr(
-        "flatten(transform(filter(parts, p -> length(p) >= 5), p -> concat(array(p), "
-        "transform(sequence(1, length(p)), i -> concat(substring(p, 1, i - 1), substring(p, i + 1))))))"
-    )
-    spelled = F.transform(gone, lambda w: _both(w, c("building")))
+    spelled = F.transform(F.expr(_SPELLED), lambda w: _both(w, c("building")))
     start = F.transform(c("common"), lambda w: _both(w, F.when(F.length("core") >= 6, F.left(c("core"), F.lit(3))), c("building")))
     end = F.transform(c("common"), lambda w: _both(w, F.when(F.length("core") >= 6, F.right(c("core"), F.lit(3))), c("building")))
     every = [
@@ -126,9 +100,11 @@ def passes() -> list[list[Rule]]:
 
 #: Rules of which a pair can share several keys, all made of the parts of the name and the building: whom most keys
 #: name is only known once every record of a key is met.
-_SEVERAL = {"word of the name, building", "word within a letter, building"}
+_SEVERAL = {"word of the name, building": _WORDS, "word within a letter, building": _SPELLED}
 #: Rows of one key that a task meets at once.
 _HOT = 1000
+#: Different names up to which all of a building are compared with a target as they are; in others keys are met.
+_CROWD = 32
 
 
 def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least: float = 0.5, prior: float = 0.5, weight: float = 4.0) -> DataFrame:
@@ -147,6 +123,9 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
     truth = cut(labels.select("id", F.explode_outer("ids").alias("right_id")))
     judged = truth.select("id").distinct()
     right = truth.filter("right_id IS NOT NULL").distinct()
+    # records of the same parts in one building share the same keys with any target: the smallest id stands for them
+    alike = ours.filter("building <> '' AND size(parts) > 0").groupBy("building", "parts").agg(F.min("id").alias("id"))
+    alike = cut(alike.withColumn("crowd", F.count(F.lit(1)).over(Window.partitionBy("building"))))
     done, names, first = None, {}, 1
     for group in passes():
         numbered = dict(enumerate(group, first))
@@ -155,16 +134,19 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
         single = [k for k, r in numbered.items() if r[5]]
         several = {k: (r[3], r[1]) for k, r in numbered.items() if r[0] in _SEVERAL}
         one = _keyed(ours, {k: (r[3], r[1]) for k, r in numbered.items() if k not in several})
-        by_key = one.groupBy("rule_no", "k").agg(F.min("id").alias("reference_id"), F.count(F.lit(1)).alias("m"))
+        by_key = one.groupBy("k", "k2", "rule_no").agg(F.min("id").alias("reference_id"), F.count(F.lit(1)).alias("m"))
         by_key = by_key.filter((F.col("m") == 1) | ~F.col("rule_no").isin(single)).drop("m")
         left_over = theirs if done is None else theirs.join(done.select(F.col("target_id").alias("id")).hint("merge"), "id", "left_anti")
-        asked = _keyed(left_over, {k: (r[4], r[2]) for k, r in numbered.items()}).withColumnRenamed("id", "target_id")
-        met = asked.join(by_key.hint("merge"), ["rule_no", "k"])
+        asked = _keyed(left_over, {k: (r[4], r[2]) for k, r in numbered.items() if k not in several}).withColumnRenamed("id", "target_id")
+        met = asked.join(by_key.hint("merge"), ["k", "k2", "rule_no"])
+        hits = met.repartition("target_id").groupBy("target_id", "rule_no", "reference_id").agg(F.count(F.lit(1)).alias("shared"))
         if several:
-            # records of the same parts in one building share the same keys with any target: the smallest id stands for them
-            alike = ours.groupBy("building", "parts").agg(F.min("id").alias("id"))
-            met = met.unionByName(_met(asked.filter(F.col("rule_no").isin(list(several))), _keyed(alike, several)))
-        hits = met.groupBy("target_id", "rule_no", "reference_id").agg(F.count(F.lit(1)).alias("shared"))
+            hits = hits.unionByName(_beside(left_over, alike, {k: _SEVERAL[names[k]] for k in several}))
+            # where a building has very many names, only those that share a key are met
+            crowded = alike.filter(F.col("crowd") > _CROWD)
+            among = left_over.join(crowded.select("building").distinct(), "building", "left_semi")
+            asked = _keyed(among, {k: (r[4], r[2]) for k, r in numbered.items() if k in several}).withColumnRenamed("id", "target_id")
+            hits = hits.unionByName(_met(asked, _keyed(crowded, several)).repartition("target_id").groupBy("target_id", "rule_no", "reference_id").agg(F.count(F.lit(1)).alias("shared")))
         best = hits.groupBy("target_id", "rule_no").agg(F.min(F.struct(-F.col("shared"), "reference_id")).reference_id.alias("reference_id"))
         found = cut(best)
         trusted = set(numbered)
@@ -182,24 +164,35 @@ def cascade(reference: DataFrame, targets: DataFrame, labels: DataFrame, least:
     return done.select("reference_id", "target_id", "rule_no", of(names).alias("rule"), of(sure).alias("confidence"))
 
 
+def _beside(targets: DataFrame, alike: DataFrame, words: dict[int, str]) -> DataFrame:
+    """(target_id, rule_no, reference_id, shared): how many words targets share with the reference records of their building."""
+    of = {k: F.array_distinct(F.expr(w)) for k, w in words.items()}
+    theirs = targets.filter("building <> '' AND size(parts) > 0").select("building", F.col("id").alias("target_id"), *[w.alias(f"t{k}") for k, w in of.items()])
+    ours = alike.filter(F.col("crowd") <= _CROWD).select("building", F.col("id").alias("reference_id"), *[w.alias(f"r{k}") for k, w in of.items()])
+    shared = [F.struct(F.lit(k).alias("rule_no"), F.size(F.array_intersect(f"t{k}", f"r{k}")).cast("long").alias("shared")) for k in words]
+    rows = theirs.join(ours.hint("merge"), "building").select("target_id", "reference_id", F.explode(F.array(*shared)).alias("s"))
+    return rows.select("target_id", "s.rule_no", "reference_id", "s.shared").filter("shared > 0")
+
+
 def _met(asked: DataFrame, every: DataFrame) -> DataFrame:
-    """(target_id, rule_no, k, reference_id): every target with every reference record of its key, hot keys salted."""
+    """(target_id, rule_no, k, k2, reference_id): every target with every reference record of its key, hot keys salted."""
     # at most one key in a thousand rows is here; whether that is little enough to be broadcast, the measured size decides
-    hot = every.groupBy("rule_no", "k").agg(F.ceil(F.count(F.lit(1)) / _HOT).cast("int").alias("salts")).filter("salts > 1")
-    ours = every.withColumnRenamed("id", "reference_id").join(hot, ["rule_no", "k"], "left")
+    hot = every.groupBy("k", "k2", "rule_no").agg(F.ceil(F.count(F.lit(1)) / _HOT).cast("int").alias("salts")).filter("salts > 1")
+    ours = every.withColumnRenamed("id", "reference_id").join(hot, ["k", "k2", "rule_no"], "left")
     ours = ours.withColumn("salt", F.pmod(F.xxhash64("reference_id"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
-    theirs = asked.join(hot, ["rule_no", "k"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-    return theirs.join(ours.hint("merge"), ["rule_no", "k", "salt"]).drop("salt")
+    theirs = asked.join(hot, ["k", "k2", "rule_no"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return theirs.join(ours.hint("merge"), ["k", "k2", "rule_no", "salt"]).drop("salt")
 
 
 def _keyed(records: DataFrame, keys: dict[int, tuple[Column, Column]]) -> DataFrame:
-    """(id, rule_no, k): the keys of every rule whose condition holds."""
+    """(id, rule_no, k, k2): the keys of every rule whose condition holds, as two hashes, 128 bits of rule and key."""
     each = [
         F.when(condition, F.transform(F.array_distinct(array), lambda x: F.struct(F.lit(k).alias("rule_no"), x.alias("k")))) for k, (condition, array) in keys.items()
     ]
     none = F.array().cast("array<struct<rule_no:int,k:string>>")
     every = F.flatten(F.array(*[F.coalesce(e, none) for e in each]))
-    return records.select("id", F.explode(every).alias("r")).select("id", "r.rule_no", "r.k").filter("k IS NOT NULL")
+    rows = records.select("id", F.explode(F.filter(every, lambda r: r.k.isNotNull())).alias("r"))
+    return rows.select("id", "r.rule_no", F.xxhash64("r.rule_no", "r.k").alias("k"), F.xxhash64("r.k", "r.rule_no").alias("k2"))
 
 
 def _precision(found: DataFrame, judged: DataFrame, right: DataFrame, prior: float, weight: float) -> dict[int, float]:

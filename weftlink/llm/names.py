@@ -13,12 +13,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.fold import fold, osa, signed
+from weftlink.llm.fold import bags, fold, may_be_near, osa
 from weftlink.session import cut
 
 #: Legal forms, connectives, nicknames and common business abbreviations.
@@ -60,7 +60,10 @@ def _shorter(word: str, most: int) -> set[str]:
 
 
 #: Long legal forms by what is left of them without a letter: misspelled ones are dropped too.
-_LEGAL_NEAR = {x: w for w in ("limited", "private", "corporation", "incorporated", "compani", "limitada", "sociedad") for x in _shorter(w, 1)}
+_LEGAL_LONG = ("limited", "private", "corporation", "incorporated", "compani", "limitada", "sociedad")
+_LEGAL_NEAR = {x: w for w in _LEGAL_LONG for x in _shorter(w, 1)}
+#: One edit leaves three letters at the start or at the end as they are.
+_LEGAL_STARTS, _LEGAL_ENDS = tuple({w[:3] for w in _LEGAL_LONG}), tuple({w[-3:] for w in _LEGAL_LONG})
 
 
 def words_of(name: str) -> list[str]:
@@ -76,7 +79,7 @@ def words_of(name: str) -> list[str]:
     for w in every:
         if w in _DROPPED:
             continue
-        if len(w) >= 6 and any(x in _LEGAL_NEAR and osa(w, _LEGAL_NEAR[x], 1) <= 1 for x in _shorter(w, 1)):
+        if len(w) >= 6 and (w.startswith(_LEGAL_STARTS) or w.endswith(_LEGAL_ENDS)) and any(x in _LEGAL_NEAR and osa(w, _LEGAL_NEAR[x], 1) <= 1 for x in _shorter(w, 1)):
             continue
         if len(w) == 1 and len(every) > 2 and w == "p":
             continue
@@ -108,11 +111,9 @@ class Lexicon:
         self.common = set(common)
         self.long = sorted((w for w in common if len(w) >= 4), key=lambda w: (-len(w), w))
         self.by_first: dict[str, list[str]] = {}
-        self.near: dict[str, list[str]] = {}
+        self.bags = bags(self.long) if self.long else None
         for w in common:
             self.by_first.setdefault(w[0], []).append(w)
-            for x in _shorter(w, 2 if len(w) >= 6 else 1) if len(w) >= 4 else (w,):
-                self.near.setdefault(x, []).append(w)
         self.kept: dict[str, str | None] = {}
         # of a common word, its plural, and its abbreviation without vowels, all in use, one form stands for all
         self.form = {w: max(f for f in (w + "s", w + "es") if f in self.common) for w in common if {w + "s", w + "es"} & self.common}
@@ -127,20 +128,45 @@ class Lexicon:
         if word in self.common:
             return self.form.get(word, word)
         if word not in self.kept:
-            if len(self.kept) > 200_000:
-                self.kept.clear()
-            most = _edits(word)
-            offered = {c for x in _shorter(word, most) for c in self.near.get(x, ())} if most and len(word) <= 24 else ()
-            near = sorted((osa(word, c, most), c) for c in offered)
-            hit = near[0][1] if near and near[0][0] <= most else None
+            self.meet([word])
+        return self.kept[word]
+
+    def meet(self, words: list[str]) -> None:
+        """Finds what ``known`` gives for words that are not common, all of them at once."""
+        if len(self.kept) > 200_000:
+            self.kept.clear()
+        words = [w for w in dict.fromkeys(words) if w not in self.common and w not in self.kept]
+        near = self._misspelled([w for w in words if 5 <= len(w) <= 24])
+        for word in words:
+            hit = near.get(word)
             if hit is None:
                 hit = next((f for f in (word + "s", word + "es") if len(word) >= 4 and f in self.common), None)
             if hit is None and 4 <= len(word) <= 8:
                 # longer words abbreviate only what they begin
-                longer = [c for c in self.by_first.get(word[0], ()) if len(c) >= 6 and short_for(word, c) and (len(word) <= 6 or c.startswith(word))]
-                hit = longer[0] if longer else None
+                whole = len(word) > 6 or any(c in "aeiou" for c in word[1:-1])
+                longer = (c for c in self.by_first.get(word[0], ()) if len(c) >= 6 and (not whole or c.startswith(word)) and short_for(word, c))
+                hit = next(longer, None)
             self.kept[word] = self.form.get(hit, hit)
-        return self.kept[word]
+
+    def _misspelled(self, words: list[str]) -> dict[str, str]:
+        """The nearest common word of at least four letters within the edits of a word (the first in the alphabet of equally near ones)."""
+        out: dict[str, str] = {}
+        if not self.long:
+            return out
+        sizes = np.array([len(w) for w in self.long])
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            most = np.array([_edits(w) for w in some])
+            own = np.array([len(w) for w in some])
+            near = may_be_near(bags(some)[:, None], self.bags[None, :], most[:, None])
+            row, col = np.nonzero(near & (np.abs(own[:, None] - sizes[None, :]) <= most[:, None]))
+            best: dict[int, tuple[int, str]] = {}
+            for r, c in zip(row.tolist(), col.tolist()):
+                found = (osa(some[r], self.long[c], most[r]), self.long[c])
+                if found[0] <= most[r] and (r not in best or found < best[r]):
+                    best[r] = found
+            out |= {some[r]: c for r, (_, c) in best.items()}
+        return out
 
     def split(self, words: list[str]) -> tuple[list[str], list[str], list[str]]:
         """(core words, common words, initials)."""
@@ -194,32 +220,6 @@ def segments(length: int, edits: int, shift: int) -> list[tuple[int, int]]:
 _SHIFTS = (0, 1)
 
 
-def _key(length: int, shift: int, i: int, part: str) -> int:
-    return signed(xxhash.xxh64_intdigest(f"{length}|{shift}|{i}|{part}"))
-
-
-def index_keys(core: str) -> list[int]:
-    length = len(core)
-    return [_key(length, s, i, core[at : at + size]) for s in _SHIFTS for i, (at, size) in enumerate(segments(length, allowed(length), s))]
-
-
-def probe_keys(core: str) -> list[int]:
-    """Keys of all substrings that can be a shifted segment of an indexed core, equally long or shorter."""
-    out = set()
-    mine = len(core)
-    for length in range(max(6, mine - 3), mine + 1):
-        edits, delta = allowed(length), mine - length
-        if delta > edits:
-            continue
-        for s in _SHIFTS:
-            for i, (at, size) in enumerate(segments(length, edits, s)):
-                low = max(0, at - i, at + delta - (edits - i))
-                high = min(mine - size, at + i, at + delta + (edits - i))
-                for p in range(low, high + 1):
-                    out.add(_key(length, s, i, core[p : p + size]))
-    return list(out)
-
-
 def alike(a: list[str], b: list[str]) -> bool:
     """Whether two sets of common words can belong to one organisation: one shared, or one set empty."""
     if not len(a) or not len(b) or set(a) & set(b):
@@ -227,8 +227,11 @@ def alike(a: list[str], b: list[str]) -> bool:
     return any(x.startswith(y[:4]) or y.startswith(x[:4]) or short_for(x, y) or short_for(y, x) for x in a for y in b)
 
 
-def analysed(df: DataFrame, name_col: str, floor: int = 25, share: float = 0.001) -> DataFrame:
-    """(name, core, arranged, common, initials) of every different non-blank name, checkpointed.
+def analysed(df: DataFrame, name_col: str, floor: int = 25, share: float = 0.001, forms: bool = False) -> DataFrame:
+    """(name, core, arranged, parts, common, initials) of every different non-blank name, checkpointed.
+
+    With ``forms`` also plain, letters, head and acronym: words in order of the alphabet, sorted initials, whether the name is one,
+    and then its first letter.
 
     A word is common if at least ``share`` of all names and at least ``floor`` names use it; there
     can be no more of them than a name has words on average, by ``share``, however many names there are.
@@ -251,8 +254,10 @@ def analysed(df: DataFrame, name_col: str, floor: int = 25, share: float = 0.001
     def cores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(shared.value)
         for pdf in batches:
-            got = [lexicon.split(list(w)) for w in pdf["words"]]
-            yield pd.DataFrame(
+            every = [w.tolist() for w in pdf["words"]]
+            lexicon.meet([x for w in every for x in w if len(x) > 1])
+            got = [lexicon.split(w) for w in every]
+            out = pd.DataFrame(
                 {
                     "name": pdf["name"].to_numpy(),
                     "core": ["".join(c) for c, _, _ in got],
@@ -262,72 +267,145 @@ def analysed(df: DataFrame, name_col: str, floor: int = 25, share: float = 0.001
                     "initials": [i for *_, i in got],
                 }
             )
-
-    return cut(worded.mapInPandas(cores, "name string, core string, arranged array<string>, parts array<string>, common array<string>, initials array<string>"))
+            if forms:
+                one = [len(w) == 1 and 2 <= len(w[0]) <= 5 and len(n.strip()) <= 30 for w, n in zip(every, pdf["name"])]
+                out["plain"] = [" ".join(sorted(fold(n).split())) for n in pdf["name"]]
+                out["letters"] = ["".join(sorted(w[0] if o else "".join(x[0] for x in w))) for w, o in zip(every, one)]
+                out["head"] = [w[0][0] if o else "" for w, o in zip(every, one)]
+                out["acronym"] = one
+            yield out
+
+    more = ", plain string, letters string, head string, acronym boolean" if forms else ""
+    return cut(worded.mapInPandas(cores, "name string, core string, arranged array<string>, parts array<string>, common array<string>, initials array<string>" + more))
+
+
+#: Units of which one part of a group that nearly all cores meet is made.
+_PART = 200_000
+#: Pairs, and letters of texts, that are held at once.
+_PAIRS, _CELLS = 200_000, 2_000_000
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _windows(texts: list[str], parts: list[tuple[int, int]]) -> list[np.ndarray]:
+    """Hashes of the substrings (start, size) of texts of one length."""
+    letters = np.array(texts, dtype=f"U{len(texts[0])}").view(np.uint32).reshape(len(texts), -1).astype(np.uint64)
+    upto = np.zeros((letters.shape[1] + 1, len(texts)), np.uint64)
+    for j in range(letters.shape[1]):
+        upto[j + 1] = upto[j] * _BASE + letters[:, j] + np.uint64(1)
+    power = np.multiply.accumulate(np.full(letters.shape[1], _BASE))  # products wrap
+    return [upto[at + size] - upto[at] * power[size - 1] for at, size in parts]
+
+
+def _near_in(length: int, indexed: list[tuple[str, list[str]]], probing: list[tuple[str, list[str]]]) -> Iterator[tuple[str, str]]:
+    """(a, b) of one group: probing cores within the allowed edits of indexed ones, all of ``length``, that come first."""
+    edits = allowed(length)
+    cuts = [(s, i, at, size) for s in _SHIFTS for i, (at, size) in enumerate(segments(length, edits, s))]
+    texts_b = [(n, t) for n, (_, ts) in enumerate(indexed) for t in ts]
+    step = max(1, _CELLS // length)
+    keys = [np.concatenate(k) for k in zip(*[_windows([t for _, t in texts_b[x : x + step]], [c[2:] for c in cuts]) for x in range(0, len(texts_b), step)])]
+    orders = [np.argsort(k, kind="stable") for k in keys]
+    keys = [k[o] for k, o in zip(keys, orders)]
+    bags_b = bags([t for _, t in texts_b])
+    by_length: dict[int, list[tuple[str, list[str]]]] = {}
+    for p in probing:
+        by_length.setdefault(len(p[0]), []).append(p)
+    for mine, every in by_length.items():
+        delta = mine - length
+        for x in range(0, len(every), max(1, _CELLS // mine // 4)):
+            chosen = every[x : x + max(1, _CELLS // mine // 4)]
+            # rotations are indexed; of three words or more the sorted form is looked up as well
+            texts_a = [(n, t) for n, (_, ts) in enumerate(chosen) for t in ts[: 1 + (len(ts) > 2)]]
+            bags_a = bags([t for _, t in texts_a])
+            # a segment can have moved by the edits before it, and by those after it seen from the end
+            moved = [range(max(0, at - i, at + delta - (edits - i)), min(mine - size, at + i, at + delta + (edits - i)) + 1) for _, i, at, size in cuts]
+            wanted = sorted({(p, size) for (*_, size), ps in zip(cuts, moved) for p in ps})
+            hashes = dict(zip(wanted, _windows([t for _, t in texts_a], wanted)))
+            met: list[np.ndarray] = []
+            for (*_, size), ps, ours, order in zip(cuts, moved, keys, orders):
+                for asked in (hashes[p, size] for p in ps):
+                    first = np.searchsorted(ours, asked, "left")
+                    many = np.searchsorted(ours, asked, "right") - first
+                    hit = np.flatnonzero(many)
+                    total = np.cumsum(many[hit])
+                    for y in range(0, int(total[-1]) if len(total) else 0, _PAIRS):
+                        # the pairs number y and on
+                        number = np.arange(y, min(y + _PAIRS, int(total[-1])))
+                        row = np.searchsorted(total, number, "right")
+                        ta = hit[row]
+                        tb = order[first[ta] + number - (total[row] - many[ta])]
+                        near = may_be_near(bags_a[ta], bags_b[tb], edits)
+                        met.append(np.unique(ta[near] * np.int64(len(texts_b)) + tb[near]))
+            found = set()
+            for pair in np.unique(np.concatenate(met)) if met else ():
+                (na, ta), (nb, tb) = texts_a[pair // len(texts_b)], texts_b[pair % len(texts_b)]
+                a, b = chosen[na][0], indexed[nb][0]
+                if (mine > length or a > b) and (a, b) not in found and osa(ta, tb, edits) <= edits:
+                    found.add((a, b))
+            yield from found
 
 
 def near_cores(units: DataFrame) -> DataFrame:
     """``units(core, arranged, commons)``, one row a core -> (a, b): different cores within the allowed
     edits that share a common word, or of which one has none.
 
-    The common words are part of the join key, so the names of one trade meet only each other;
-    cores without any are met under a key of their own.
+    Cores meet in groups by common word and length of the indexed one, so the names of one trade meet only each other;
+    cores without any are met in groups of their own, in parts where there are many. Segments are
+    cut, met and verified within a task: only cores are shuffled, a few times each, not their keys.
     """
-    arrays = "core string, text string, keys array<bigint>, marks array<string>"
+    parts = max(1, units.count() // _PART)
+    rows = units.filter("length(core) >= 6").select("core", F.array_join("arranged", " ").alias("arranged"), F.coalesce("commons", F.array().cast("array<string>")).alias("m"), F.length("core").alias("n"))
+    part = F.pmod(F.xxhash64("core"), F.lit(parts)).cast("int")
+    each = F.sequence(F.lit(0), F.lit(parts - 1))
+    fixed = lambda mark, p: F.struct(F.lit(mark).alias("mark"), p.cast("int").alias("part"))
+    marks = F.transform("m", lambda w: F.struct(w.alias("mark"), F.lit(0).alias("part")))
+    # in the groups "*" (all cores) the indexed ones are dealt to parts, in "-" (those without a common word) the probing ones
+    indexed = F.when(F.size("m") > 0, F.concat(marks, F.array(fixed("*", part)))).otherwise(
+        F.concat(F.array(fixed("*", part)), F.transform(each, lambda p: fixed("-", p)))
+    )
+    probing = F.when(F.size("m") > 0, F.concat(marks, F.array(fixed("-", part)))).otherwise(F.transform(each, lambda p: fixed("*", p)))
+    edits = lambda n: F.when(n < 10, 1).when(n < 20, 2).otherwise(3)
+    lengths = F.filter(F.sequence(F.greatest(F.lit(6), F.col("n") - 3), F.col("n")), lambda x: F.col("n") - x <= edits(x))
+    grouped = (
+        rows.select("core", "arranged", F.lit(False).alias("probes"), F.explode(indexed).alias("g"), F.col("n").alias("at"))
+        .unionByName(rows.select("core", "arranged", F.lit(True).alias("probes"), F.explode(probing).alias("g"), lengths.alias("at")).withColumn("at", F.explode("at")))
+        .select("core", "arranged", "probes", F.xxhash64("g.mark", "g.part", "at").alias("k"), "at")
+    )
 
-    def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [
-                (c, None if t == c else t, index_keys(t), [*m, "*"] if len(m) else ["*", "-"])
-                for c, ts, m in zip(pdf["core"], pdf["arranged"], pdf["commons"])
-                for t in ts
-                if len(t) >= 6
-            ]
-            yield pd.DataFrame(rows, columns=["core", "text", "keys", "marks"])
-
-    def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come sorted by group
+        now, sides = (None, 0), ([], [])
+        out: list[tuple[str, str]] = []
         for pdf in batches:
-            # rotations are indexed; of three words or more the sorted form is looked up as well
-            rows = [
-                (c, None if t == c else t, probe_keys(t), [*m, "-"] if len(m) else ["*"])
-                for c, ts, m in zip(pdf["core"], pdf["arranged"], pdf["commons"])
-                for t in list(ts)[: 1 + (len(ts) > 2)]
-                if len(t) >= 6
-            ]
-            yield pd.DataFrame(rows, columns=["core", "text", "keys", "marks"])
-
-    def keyed(function, core: str, text: str) -> DataFrame:
-        rows = units.mapInPandas(function, arrays).withColumn("mark", F.explode("marks")).withColumn("k", F.explode("keys"))
-        return rows.select(F.col("core").alias(core), F.col("text").alias(text), F.xxhash64("k", "mark").alias("k"))
-
-    edits = F.when(F.length("b") < 10, 1).when(F.length("b") < 20, 2).otherwise(3)
-    once = (F.length("a") > F.length("b")) | ((F.length("a") == F.length("b")) & (F.col("a") > F.col("b")))
-    ta, tb = F.coalesce("ta", "a"), F.coalesce("tb", "b")
-    # swaps count as two in this distance
-    close = F.levenshtein(ta, tb, 6)
-    met = keyed(probing, "a", "ta").join(keyed(indexed, "b", "tb").hint("merge"), "k").filter(once & (close >= 0) & (close <= 2 * edits))
-    pairs = met.select("a", "b", ta.alias("ta"), tb.alias("tb")).distinct()
-
-    @F.pandas_udf("boolean")
-    def verified(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([osa(s, t, m) <= m for s, t in zip(x, y) for m in (allowed(min(len(s), len(t))),)])
-
-    return pairs.filter(verified("ta", "tb")).select("a", "b").distinct()
-
-
-def name_classes(df: DataFrame, name_col: str) -> DataFrame:
-    """(name, class_id, core, parts, common, initials) of every different name: names of one organisation share ``class_id``.
+            for core, arranged, probes, k, at in zip(pdf["core"], pdf["arranged"], pdf["probes"], pdf["k"], pdf["at"]):
+                if (k, at) != now:
+                    if sides[0] and sides[1]:
+                        out += _near_in(now[1], *sides)
+                    now, sides = (k, at), ([], [])
+                sides[probes].append((core, arranged.split(" ")))
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=["a", "b"])
+                out = []
+        if sides[0] and sides[1]:
+            out += _near_in(now[1], *sides)
+        yield pd.DataFrame(out, columns=["a", "b"])
+
+    return grouped.repartition("k").sortWithinPartitions("k", "at").mapInPandas(meet, "a string, b string").distinct()
+
+
+def name_classes(df: DataFrame, name_col: str, forms: bool = False) -> DataFrame:
+    """(name, class_id, core, parts, common, initials) of every different name, with ``forms`` those of ``analysed``: names
+    of one organisation share ``class_id``.
 
     A core is drawn to the most frequent core near it whose common words agree (of equally frequent
     ones to the first in the alphabet), and on from there to the end.  Names without a core of
     their own (only common words) are a class by their words.  NULL and blank names have no class.
     """
-    return _classed(df, name_col)[0]
+    return _classed(df, name_col, forms)[0]
 
 
-def _classed(df: DataFrame, name_col: str) -> tuple[DataFrame, DataFrame]:
+def _classed(df: DataFrame, name_col: str, forms: bool = False) -> tuple[DataFrame, DataFrame]:
     """``name_classes``, and (a, class_a, b, class_b): near cores with agreeing common words that were drawn to different classes."""
-    every = analysed(df, name_col)
+    every = analysed(df, name_col, forms=forms)
     # the unit of a class: a core with the common words that mark its trade
     units = every.groupBy("core").agg(
         F.count(F.lit(1)).alias("n"), F.min("arranged").alias("arranged"), F.array_distinct(F.flatten(F.collect_set("common"))).alias("commons")
@@ -354,7 +432,8 @@ def _classed(df: DataFrame, name_col: str) -> tuple[DataFrame, DataFrame]:
     ends = ends.select("core", F.col("to").alias("class_core"))
     out = every.join(ends.hint("merge"), "core", "left")
     words = F.concat(F.lit("="), F.array_join("common", " "), F.lit("|"), F.array_join("initials", " "), F.lit("|"), "core")
-    named = out.select("name", F.coalesce("class_core", words).alias("class_id"), "core", "parts", "common", "initials")
+    more = ["plain", "letters", "head", "acronym"] if forms else []
+    named = out.select("name", F.coalesce("class_core", words).alias("class_id"), "core", "parts", "common", "initials", *more)
     class_a = ends.select(F.col("core").alias("a"), F.col("class_core").alias("class_a"))
     class_b = ends.select(F.col("core").alias("b"), F.col("class_core").alias("class_b"))
     apart = links.select("a", "b").join(class_a.hint("merge"), "a").join(class_b.hint("merge"), "b").filter("class_a <> class_b")
@@ -373,9 +452,7 @@ def _initialled(named: DataFrame) -> DataFrame:
     asked = short.select("name", "common", F.concat(F.element_at("initials", 1), F.lit("|"), F.array_join(F.sort_array("parts"), " ")).alias("k"))
     met = asked.join(one.hint("merge"), "k").filter(F.arrays_overlap("common", "full_common"))
     sure = met.groupBy("name").agg(F.min("full_class").alias("to"), F.countDistinct("full_class").alias("m")).filter("m = 1")
-    return named.join(sure.select("name", "to").hint("merge"), "name", "left").select(
-        "name", F.coalesce("to", "class_id").alias("class_id"), "core", "parts", "common", "initials"
-    )
+    return named.join(sure.select("name", "to").hint("merge"), "name", "left").withColumn("class_id", F.coalesce("to", "class_id")).drop("to")
 
 
 def same_organisation(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
