@@ -110,7 +110,3 @@ def bags(words: list[str]) -> np.ndarray:
 def may_be_near(a: np.ndarray, b: np.ndarray, most: np.ndarray | int) -> np.ndarray:
     """Whether words of these ``bags`` can be within so many edits: an edit takes at most one letter away, and adds at most one."""
     return (np.bitwise_count(a & ~b) <= most) & (np.bitwise_count(b & ~a) <= most)
-
-
-def signed(value: int) -> int:
-    return int(np.uint64(value).astype(np.int64))
